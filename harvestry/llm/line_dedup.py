@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 #: A-Z to lower case and nothing else, as the key is defined on ASCII case only.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SPACE = " \t\n\x0b\x0c\r"
 
 
 def line_key(line: Column) -> Column:
     """The line without white space [\\x20\\x09-\\x0D] at both ends, A-Z in lower case."""
-    return F.translate(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", ""), _UPPER, _LOWER)
+    return F.translate(F.trim(line, F.lit(_SPACE)), _UPPER, _LOWER)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
