@@ -96,9 +96,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, fan_in: int = FAN_IN, near
         def one(batches, level=level, last=last):
             from pyspark import TaskContext
 
-            table = pa.Table.from_batches(list(batches)) if batches else None
-            if table is None or not table.num_rows:
+            found = [b for b in batches if b.num_rows]
+            if not found:
                 return
+            table = pa.Table.from_batches(found)
             sizes = table.column("size").to_pylist()
             members = table.column("members").combine_chunks()
             if isinstance(members, pa.ChunkedArray):
