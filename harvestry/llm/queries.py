@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import line_dedup, packing, quality_model, quality_rules, sharding, token_files, toxicity
+from harvestry.llm import kneser_ney, line_dedup, packing, quality_model, quality_rules, sharding, token_files, toxicity
 from harvestry.llm.samples import fold
 
 
@@ -31,6 +31,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(F.col("id").alias("doc_id"), (fold(F.col("id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    remainder = fold(F.col("doc_id"), 10)
+    model = kneser_ney.train(docs.filter(remainder != 0))
+    out = kneser_ney.score(docs, model)
+    return out.select(
+        F.col("id").alias("doc_id"), (fold(F.col("id"), 10) == 0).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"), F.sha2(F.col("__kept").cast("binary"), 256).alias("kept_sha256"))
@@ -58,7 +68,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op4_line_dedup, op5_token_files, op6_quality_model, op7_packing, op8_sharding)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_lm_scoring, op4_line_dedup, op5_token_files, op6_quality_model, op7_packing, op8_sharding)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
