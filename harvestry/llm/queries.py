@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import kneser_ney, line_dedup, packing, quality_model, quality_rules, sharding, token_files, toxicity
+from harvestry.llm import kneser_ney, line_dedup, ngram_join, packing, quality_model, quality_rules, sharding, token_files, toxicity
 from harvestry.llm.samples import fold
 
 
@@ -67,8 +67,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), 24).withColumn("law", F.lit("key"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_lm_scoring, op4_line_dedup, op5_token_files, op6_quality_model, op7_packing, op8_sharding)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_lm_scoring, op4_line_dedup, op5_token_files, op6_quality_model, op7_packing, op8_sharding, op9_ngram_join)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -86,5 +90,20 @@ FROM f GROUP BY doc_id
 """
 
 
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT x AS doc_id, x AS root FROM e UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.doc_id WHERE r.root < e.y)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY 1) m ON m.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": OP4_SQL}
+    return {"op4_line_dedup": OP4_SQL, "op9_ngram_join": OP9_SQL}
