@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import kneser_ney, line_dedup, ngram_join, packing, quality_model, quality_rules, sharding, token_files, toxicity
+from harvestry.llm import decontamination, kneser_ney, line_dedup, ngram_join, packing, quality_model, quality_rules, sharding, token_files, toxicity
 from harvestry.llm.samples import fold
 
 
@@ -71,8 +71,16 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contaminated(docs, _table(spark, sf_dir, "benchmark"))
+    ids = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("body_hash"))
+    return ids.join(found, same, "left").select("doc_id", F.col("items").isNotNull().alias("contaminated"), "items", "coverage")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_lm_scoring, op4_line_dedup, op5_token_files, op6_quality_model, op7_packing, op8_sharding, op9_ngram_join)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_lm_scoring, op4_line_dedup, op5_token_files, op6_quality_model, op7_packing, op8_sharding, op9_ngram_join, op10_decontamination)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
