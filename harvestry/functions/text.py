@@ -143,7 +143,7 @@ def safe_link(url: Column) -> Column:
 def script_escape(c: Column) -> Column:
     """JSON that can't end the script element it stands in."""
     out = c
-    for sign, code in (("<", r"<"), (">", r">"), ("&", r"&")):
+    for sign, code in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")):
         out = F.replace(out, F.lit(sign), F.lit(code))
     return out
 

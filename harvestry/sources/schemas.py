@@ -6,20 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SOURCES = T.StructType.fromDDL(
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "binary": T.BinaryType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _schema(text: str) -> T.StructType:
+    """A schema from "name type, ..", without a session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (part.split() for part in text.split(","))])
+
+
+SOURCES = _schema(
     "ord int, name string, mode string, discovery string, category string, enabled boolean, display_name string, sitemap string, feed_url string, url string, "
     "index_urls array<string>, seed_file string, url_pattern string, rehost_author string, backfill_limit int, max_new_per_run int, request_delay_seconds double, user_agent string"
 )
 #: What was fetched: stands between the engine and the network.
-DOCUMENTS = T.StructType.fromDDL("url string, kind string, body string, bytes binary, ok boolean")
-REFS = T.StructType.fromDDL("source string, ord bigint, ref string, date_hint timestamp, dedup_key string")
-CATALOG = T.StructType.fromDDL(
+DOCUMENTS = _schema("url string, kind string, body string, bytes binary, ok boolean")
+REFS = _schema("source string, ord bigint, ref string, date_hint timestamp, dedup_key string")
+CATALOG = _schema(
     "seq bigint, dedup_key string, source string, source_url string, page_url string, mode string, category string, saved_via string, title string, text string, author string, "
     "cuisine string, categories array<string>, ingredients string, instructions string, notes string, nutrition string, yield_ string, prep_time string, cook_time string, "
     "total_time string, prep_minutes int, cook_minutes int, total_minutes int, image_url string, local_image string, published_at timestamp, discovered_at timestamp, "
     "content_hash string, last_seen_at timestamp, in_feed boolean, backfill boolean"
 )
-FAILURES = T.StructType.fromDDL("dedup_key string, source string, source_url string, attempts int, last_attempt timestamp, next_retry timestamp")
+FAILURES = _schema("dedup_key string, source string, source_url string, attempts int, last_attempt timestamp, next_retry timestamp")
 
 MODES = ("link_through", "rehost")
 DISCOVERIES = ("sitemap", "native_feed", "index_page", "chef_page", "seed_list", "saved_items")
