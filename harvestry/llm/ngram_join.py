@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from harvestry.llm.components import components
 from harvestry.llm.samples import bounded
-from harvestry.llm.shingles import RARE, Shingler, prefix_length
+from harvestry.llm.shingles import RARE, Shingler, may_be_similar, parity_sketch, prefix_length
 from harvestry.scratch import materialise
 
 #: The order of tokens is steered by so many documents, frequent words and frequent shingles; results don't depend on it.
-SAMPLE_DOCS, FREQUENT_WORDS, FREQUENT_SHINGLES, FREQUENT_IN = 4000, 20_000, 200_000, 8
+SAMPLE_DOCS, FREQUENT_WORDS, FREQUENT_SHINGLES, FREQUENT_IN = 12_000, 20_000, 200_000, 6
 #: A bucket of more documents or tokens is searched in blocks of about so many.
 BLOCK_DOCS, BLOCK_TOKENS = 4096, 4_000_000
 #: Bits of the filter that lets through the documents of buckets.
@@ -133,6 +133,21 @@ def _order(docs: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
     return frequent, hot
 
 
+def _grouped(batches, keys: int):
+    """(key values, rows of the other values) of consecutive rows with equal first columns."""
+    now, rows = None, []
+    for batch in batches:
+        columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
+        for row in zip(*columns, strict=True):
+            if row[:keys] != now:
+                if rows:
+                    yield now, rows
+                now, rows = row[:keys], []
+            rows.append(row[keys:])
+    if rows:
+        yield now, rows
+
+
 def _member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
     """Which values are in an ascending array."""
     if not len(of):
@@ -152,7 +167,7 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     aren't read.
 
     What is dealt out by token is 1 - percent / 100 of the tokens, rarest words first, and only
-    their least documents' buckets see texts again. Shingles that a sample shows to be frequent
+    their least documents' buckets see texts again, after sizes and parity sketches have ruled out most. Shingles that a sample shows to be frequent
     come last in the order, so only documents made of little else meet on them; those are summed in
     each task and never dealt out by token. Buckets over BLOCK_DOCS or BLOCK_TOKENS are searched in
     pairs of blocks, each a task of bounded size.
@@ -165,23 +180,25 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     def sets(batches):
         make = Shingler(frequent)
         for batch in batches:
-            sizes, marks, colds, hots = [], [], [], []
+            sizes, marks, sketches, colds, hots = [], [], [], [], []
             for body in batch.column(1):
                 found = make.tokens(body.as_py())
                 sizes.append(len(found))
                 marks.append(xxhash.xxh3_128_digest(found.tobytes()))
+                sketches.append(parity_sketch(found))
                 want = prefix_length(len(found), percent)
                 late = _member(found, hot)
                 cold = found[~late][:want]
                 colds.append(cold)
                 hots.append(found[late][: want - len(cold)])
             lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]), pa.int32()), pa.array(np.concatenate(x) if x else np.empty(0, np.int64))) for x in (colds, hots)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), *lists], ["id", "n", "mark", "cold", "hot"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(sketches, pa.binary()), *lists], ["id", "n", "mark", "sketch", "cold", "hot"])
 
-    made = materialise(base.mapInArrow(sets, "id long, n long, mark binary, cold array<long>, hot array<long>"), "sets")
+    made = materialise(base.mapInArrow(sets, "id long, n long, mark binary, sketch binary, cold array<long>, hot array<long>"), "sets")
     real = made.filter("n > 0 and id is not null")
     groups = materialise(real.groupBy("mark", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "groups")
-    reps = real.join(groups.select("rep").distinct(), F.col("id") == F.col("rep"), "left_semi").select("id", "n", "cold", "hot")
+    real = real.join(groups.select("rep").distinct(), F.col("id") == F.col("rep"), "left_semi")
+    reps = real.select("id", "n", "cold", "hot")
 
     dealt = reps.select("id", "n", F.explode("cold").alias("t")).repartition(parts, "t")
     shared = dealt.groupBy("t").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("pivot")).filter("c > 1").select("t", "pivot")
@@ -223,11 +240,26 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     plan = members.groupBy(F.col("pivot").alias("p")).agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), tokens).cast("int").alias("blocks"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     placed = members.join(plan, F.col("pivot") == F.col("p")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
-    placed = placed.select("id", "pivot", "block", F.explode(tasks).alias("task")).select("id", "pivot", "block", "task.i", "task.j")
+    sketched = placed.join(real.select(F.col("id").alias("sid"), "sketch"), F.col("id") == F.col("sid"))
+    spread = sketched.select("pivot", "block", F.explode(tasks).alias("task"), "id", "n", "sketch").select("pivot", "task.i", "task.j", "block", "id", "n", "sketch")
+
+    def likely(batches):
+        for task, rows in _grouped(batches, 3):
+            block, ids, sizes = (np.array([x[k] for x in rows]) for k in range(3))
+            keep = np.zeros(len(rows), bool)
+            if len(rows) > 1:
+                marks = np.frombuffer(b"".join(x[3] for x in rows), np.uint64).reshape(len(rows), -1)
+                keep = may_be_similar(sizes, marks, percent, None if task[1] == task[2] else block != task[1])
+            if keep.any():
+                n = int(keep.sum())
+                yield pa.RecordBatch.from_arrays([*(pa.array([x] * n, k) for x, k in zip(task, (pa.int64(), pa.int32(), pa.int32()), strict=True)), pa.array(block[keep], pa.int32()), pa.array(ids[keep])], ["pivot", "i", "j", "block", "id"])
+
+    dealt_tasks = lambda df: df.repartition(parts, "pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+    placed = materialise(dealt_tasks(spread).mapInArrow(likely, "pivot long, i int, j int, block int, id long"), "likely")
 
     # a filter of fixed size first, so that only texts that some bucket may want are moved
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    words = members.select(place(F.col("id")).alias("b")).distinct().groupBy(F.shiftright("b", 6).alias("fw")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits"))
+    words = placed.select(place(F.col("id")).alias("b")).distinct().groupBy(F.shiftright("b", 6).alias("fw")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits"))
     wanted = (
         base.withColumn("b", place(F.col("id")))
         .join(F.broadcast(words), F.shiftright("b", 6) == F.col("fw"))  # FILTER_BITS / 64 rows at most
@@ -237,28 +269,17 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     told = placed.join(wanted, F.col("id") == F.col("wid")).select("pivot", "i", "j", "block", "id", "body")
 
     def search(batches):
-        make, now, rows = Shingler(frequent), None, []
-
-        def links():
-            ids, blocks, found = zip(*rows, strict=True) if rows else ((), (), ())
-            edges = []
-            if len(ids) > 1:
-                edges = divide_skip(list(found), None if now[1] == now[2] else [int(b != now[1]) for b in blocks], percent)
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*_stars(list(ids), edges), strict=True)] if edges else [pa.array([], pa.int64())] * 2, ["a", "b"])
-
-        for batch in batches:
-            heads = list(zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True))
-            for (*task, block, i), body in zip(heads, batch.column(5), strict=True):
-                if task != now:
-                    if rows:
-                        yield links()
-                    now, rows = task, []
-                if len(found := make.tokens(body.as_py())):
-                    rows.append((i, block, found))
-        if rows:
-            yield links()
-
-    found = told.repartition(parts, "pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(search, "a long, b long")
+        make = Shingler(frequent)
+        for task, rows in _grouped(batches, 3):
+            sets = [(i, block, found) for block, i, body in rows if len(found := make.tokens(body))]
+            if len(sets) < 2:
+                continue
+            ids, blocks, found = zip(*sets, strict=True)
+            edges = divide_skip(list(found), None if task[1] == task[2] else [int(b != task[1]) for b in blocks], percent)
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*_stars(list(ids), edges), strict=True)], ["a", "b"])
+
+    found = dealt_tasks(told).mapInArrow(search, "a long, b long")
     roots = components(found)
     named = groups.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("mark").alias("gm"), F.col("n").alias("gn"), F.least("rep", F.coalesce("root", "rep")).alias("component"))
     return made.join(named, (F.col("mark") == F.col("gm")) & (F.col("n") == F.col("gn")), "left").select(

@@ -32,11 +32,14 @@ class Shingler(dict):
     def __init__(self, frequent: dict[bytes, int]):
         super().__init__()
         self.frequent = frequent
+        self.hashes, self.rarities = np.empty(MAX_WORDS, np.uint64), np.empty(MAX_WORDS, np.int64)
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        out = self[word] = (xxhash.xxh64_intdigest(word), self.frequent.get(word, RARE))
+    def __missing__(self, word: bytes) -> int:
+        out = len(self)
+        if out >= len(self.hashes):  # a single text with so many words
+            self.hashes, self.rarities = np.resize(self.hashes, 2 * out), np.resize(self.rarities, 2 * out)
+        self.hashes[out], self.rarities[out] = xxhash.xxh64_intdigest(word), self.frequent.get(word, RARE)
+        self[word] = out
         return out
 
     def tokens(self, text: bytes | None) -> np.ndarray:
@@ -44,9 +47,10 @@ class Shingler(dict):
         words = text.lower().split() if text else []
         if not words:
             return np.empty(0, np.int64)
-        both = list(map(self.__getitem__, words))
-        h = np.fromiter((x[0] for x in both), np.uint64, len(both))
-        r = np.fromiter((x[1] for x in both), np.int64, len(both))
+        if len(self) + len(words) > MAX_WORDS:
+            self.clear()  # between texts only: numbers stay valid inside one
+        ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        h, r = self.hashes[ids], self.rarities[ids]
         n = max(1, len(words) - WORDS + 1)
         width = min(len(words), WORDS)
         out, rare = np.full(n, width, np.uint64), np.zeros(n, np.int64)
@@ -57,6 +61,43 @@ class Shingler(dict):
         return np.unique((_stirred(out) & _LOW) | (top << np.uint64(56))).astype(np.int64)
 
 
+SKETCH_BITS = 1024
+
+
+def parity_sketch(tokens: np.ndarray) -> bytes:
+    """A bit for each of SKETCH_BITS classes of tokens: whether the set has an odd number of them.
+
+    Every token that only one of two sets has flips one bit, so their sketches differ in at most
+    as many bits as the sets differ in tokens.
+    """
+    return np.packbits((np.bincount(tokens & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+
+
+def may_be_similar(sizes: np.ndarray, sketches: np.ndarray, percent: int = 80, parts: np.ndarray | None = None) -> np.ndarray:
+    """For each set whether some other may reach the similarity, by sizes and sketches (rows of uint64).
+
+    With parts, only pairs of a part 0 and a part 1 count. No pair that reaches it is missed: such
+    sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes.
+    """
+    order = np.argsort(sizes, kind="stable")
+    n, s = sizes[order], sketches[order]
+    side = None if parts is None else np.asarray(parts)[order]
+    out = np.zeros(len(n), bool)
+    ends = np.searchsorted(n, 100 * n // percent, "right")
+    for i in range(len(n)):
+        rest = slice(i + 1, ends[i])
+        differ = np.bitwise_count(s[rest] ^ s[i]).sum(axis=1, dtype=np.int64)
+        near = differ * (100 + percent) <= (n[rest] + n[i]) * (100 - percent)
+        if side is not None:
+            near &= side[rest] != side[i]
+        if near.any():
+            out[i] = True
+            out[rest] |= near
+    back = np.empty(len(n), bool)
+    back[order] = out
+    return back
+
+
 def prefix_length(n: int, percent: int = 80) -> int:
     """How many first tokens a set of n must show so that any set similar enough shares one of them."""
     return n + (-percent * n // 100) + 1 if n else 0
