@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvestry.scratch import materialise
+
 #: A-Z to lower case and nothing else, as the key is defined on ASCII case only.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE = " \t\n\x0b\x0c\r"
@@ -48,6 +50,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, key: st
         .filter(F.col("n") >= min_docs)
         .select("a", "b", "keeper")
     )
+    # written first, so that the join reads plain exchanges, which adaptive execution can split
+    held = materialise(held, "held")
     drops = (
         lines.join(held, ["a", "b"])
         .filter(F.col("__id") < F.col("keeper"))
