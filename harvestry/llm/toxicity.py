@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from harvestry.llm.samples import bounded, fold
 
 #: At most so many confirmed and unlabelled documents are learned from.
-MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
+MAX_POSITIVE, MAX_UNLABELLED = 3000, 7000
 #: Words in fewer sampled documents than this are no features.
 MIN_DOCS = 5
 
@@ -37,51 +38,59 @@ class WordModel:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def nn_pu(sets_p: list[set], sets_u: list[set], prior: float, steps: int = 400, rate: float = 0.5, l1: float = 2e-4, min_docs: int = MIN_DOCS) -> WordModel:
+def nn_pu(positives: Iterable[Iterable[bytes]], unlabelled: Iterable[Iterable[bytes]], prior: float, steps: int = 240, rate: float = 0.1, l1: float = 1e-3, min_docs: int = MIN_DOCS) -> WordModel:
     """Minimise prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) under the logistic loss.
 
     R_p(+) and R_p(-) are the mean losses of the positives as positive and as negative, R_u(-) that
     of the unlabelled as negative; the max keeps the estimate of the negatives' risk from going
-    under 0, and where it would, the step goes the other way. Proximal steps with momentum keep
-    the weights few. The order of the input documents doesn't matter.
+    under 0, and where it would, the step goes the other way. Proximal steps keep the weights few,
+    the more so the fewer positives there are, and the mean of the second half of the points is
+    returned, as the steps turn back and forth around the edge. Documents are iterables of distinct
+    words; they are numbered as they come, so only numbers are held.
     """
-    counts: dict[bytes, int] = {}
-    for s in (*sets_p, *sets_u):
-        for w in s:
-            counts[w] = counts.get(w, 0) + 1
-    vocabulary = sorted(w for w, c in counts.items() if c >= min_docs)
-    index = {w: i for i, w in enumerate(vocabulary)}
-    n_p, n_u = len(sets_p), len(sets_u)
+    numbers: dict[bytes, int] = {}
+    rows, sizes = [], []
+    for group in (positives, unlabelled):
+        size = 0
+        for words in group:
+            rows.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32))
+            size += 1
+        sizes.append(size)
+    n_p, n_u = sizes
     if not n_p or not n_u:
-        return WordModel(float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))) if n_u or n_p else -10.0, {})
-    rows = [np.fromiter(sorted(index[w] for w in s if w in index), np.int64) for s in (*sets_p, *sets_u)]
-    at = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-    cols = np.concatenate(rows) if rows else np.empty(0, np.int64)
-    row_of = np.repeat(np.arange(n_p + n_u), np.diff(at))
-    # features that are in most documents carry little and would slow the steps down: divide by the root of the share
-    scale = 1 / np.sqrt(np.maximum(np.bincount(cols, minlength=len(vocabulary)), 1) / (n_p + n_u) + 1e-3)
-    w, b = np.zeros(len(vocabulary)), float(np.log(prior / (1 - prior)))
+        return WordModel(float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))) if n_p + n_u else -10.0, {})
+    n = n_p + n_u
+    row_of, cols = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows]), np.concatenate(rows)
+    del rows
+    counts = np.bincount(cols, minlength=len(numbers))
+    index = np.cumsum(counts >= min_docs) - 1
+    use = counts[cols] >= min_docs
+    row_of, cols = row_of[use], index[cols[use]].astype(np.int32)
+    vocabulary = [w for w, c in zip(numbers, counts >= min_docs, strict=True) if c]
+    v = len(vocabulary)
+    # words that most documents have carry little and would slow the steps down
+    scale = 1 / np.sqrt(np.bincount(cols, minlength=v) / n + 1e-3)
+    l1 = l1 * max(1.0, (1000 / n_p) ** 0.5)
+    w, b = np.zeros(v), float(np.log(prior / (1 - prior)))
     vw, vb = w.copy(), b
-    positive = np.arange(n_p + n_u) < n_p
-    step = rate * 0.02
-    for t in range(1, steps + 1):
-        z = vb + np.bincount(row_of, (vw * scale)[cols], minlength=n_p + n_u)
+    positive = np.arange(n) < n_p
+    sum_w, sum_b, half = np.zeros(v), 0.0, steps // 2
+    for t in range(steps):
+        z = vb + np.bincount(row_of, (vw * scale)[cols], minlength=n)
         s = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
-        loss_neg = np.logaddexp(0, z)
-        negative_risk = loss_neg[~positive].mean() - prior * loss_neg[positive].mean()
-        g = np.where(positive, 0.0, s / n_u) - np.where(positive, prior * s / n_p, 0.0)
-        if negative_risk >= 0:
-            g = g + np.where(positive, prior * (s - 1) / n_p, 0.0)
-        else:
-            g = -g
-        gw = np.bincount(cols, g[row_of], minlength=len(vocabulary)) * scale
-        new = vw - step * gw * 10
-        new = np.sign(new) * np.maximum(np.abs(new) - step * l1 * 10, 0)
-        nb = vb - step * g.sum() * 10
-        mix = (t - 1) / (t + 2)
+        loss = np.logaddexp(0, z)
+        g = np.where(positive, -prior * s / n_p, s / n_u)
+        g = g + np.where(positive, prior * (s - 1) / n_p, 0.0) if loss[~positive].mean() >= prior * loss[positive].mean() else -g
+        new = vw - rate * np.bincount(cols, g[row_of], minlength=v) * scale
+        new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
+        nb, mix = vb - rate * g.sum(), min(t / (t + 3), 0.9)
         vw, vb = new + mix * (new - w), nb + mix * (nb - b)
         w, b = new, nb
-    return WordModel(float(b), {v: float(x) for v, x in zip(vocabulary, w * scale, strict=True) if x})
+        if t >= half:
+            sum_w += w
+            sum_b += b
+    w, b = sum_w / (steps - half), sum_b / (steps - half)
+    return WordModel(float(b), {x: float(y) for x, y in zip(vocabulary, w * scale, strict=True) if abs(y) >= 1e-3})
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, folds: int = 5) -> WordModel:
@@ -106,10 +115,12 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, max_po
     # both sides have at most max_positive + max_unlabelled rows
     chosen = F.broadcast(confirmed.unionByName(others))
     found = texts.join(chosen, F.col("did") == F.col("sid")).select("kind", "body").mapInArrow(sets, "kind int, words binary").toArrow()
-    by: dict[int, list[set]] = {0: [], 1: []}
-    for kind, words in sorted(zip(found.column("kind").to_pylist(), found.column("words").to_pylist(), strict=True)):
-        by[kind].append(set(words.split(b"\n")) if words else set())
-    return nn_pu(by[1], by[0], prior)
+    # one order for every run; texts that repeat each other fall together, whichever came first
+    found = found.sort_by([("kind", "descending"), ("words", "ascending")])
+    first = int(np.count_nonzero(found.column("kind").to_numpy() == 1))
+    distinct = lambda part: (x.as_py().split(b"\n") if len(x.as_py()) else () for x in part)
+    words = found.column("words")
+    return nn_pu(distinct(words[:first]), distinct(words[first:]), prior)
 
 
 def score(docs: DataFrame, model: WordModel, key: str = "doc_id", text: str = "text") -> DataFrame:
