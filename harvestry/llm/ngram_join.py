@@ -1,7 +1,7 @@
 """N-gram Jaccard join by T-occurrence search with DivideSkip.
 
 Sets whose similarity reaches the threshold share one of their first tokens in any order that all
-sets agree on. Documents that share such a token meet in the bucket of the token's least document.
+sets agree on. Documents that share such a token meet in the bucket of the least document that has the token.
 Inside a bucket, inverted lists of whole sets are searched: short ones are merged, long ones are
 probed by binary search for what the merge leaves, and overlaps decide exactly. Exact copies are
 one set from the start.
@@ -178,23 +178,34 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def sets(batches):
-        make = Shingler(frequent)
+        make, most = Shingler(frequent), np.iinfo(np.int64).max
+        least = np.full(len(hot), most)
         for batch in batches:
+            ids = batch.column(0).to_pylist()
             sizes, marks, sketches, colds, hots = [], [], [], [], []
-            for body in batch.column(1):
+            for i, body in zip(ids, batch.column(1), strict=True):
                 found = make.tokens(body.as_py())
                 sizes.append(len(found))
                 marks.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sketches.append(parity_sketch(found))
                 want = prefix_length(len(found), percent)
                 late = _member(found, hot)
+                if i is not None:
+                    at = np.searchsorted(hot, found[late])
+                    least[at] = np.minimum(least[at], i)
                 cold = found[~late][:want]
                 colds.append(cold)
                 hots.append(found[late][: want - len(cold)])
             lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]), pa.int32()), pa.array(np.concatenate(x) if x else np.empty(0, np.int64))) for x in (colds, hots)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(sketches, pa.binary()), *lists], ["id", "n", "mark", "sketch", "cold", "hot"])
-
-    made = materialise(base.mapInArrow(sets, "id long, n long, mark binary, sketch binary, cold array<long>, hot array<long>"), "sets")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(sketches, pa.binary()), *lists], names)
+        some = np.flatnonzero(least < most)
+        if len(some):  # a row of another kind: the task's least ids of frequent shingles
+            both = [pa.array([x], pa.list_(pa.int64())) for x in (some, least[some])]
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([-1], pa.int64()), pa.array([b""], pa.binary()), pa.array([b""], pa.binary()), *both], names)
+
+    names = ["id", "n", "mark", "sketch", "cold", "hot"]
+    every = materialise(base.mapInArrow(sets, "id long, n long, mark binary, sketch binary, cold array<long>, hot array<long>"), "sets")
+    made = every.filter("n >= 0")
     real = made.filter("n > 0 and id is not null")
     groups = materialise(real.groupBy("mark", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "groups")
     real = real.join(groups.select("rep").distinct(), F.col("id") == F.col("rep"), "left_semi")
@@ -204,30 +215,16 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     shared = dealt.groupBy("t").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("pivot")).filter("c > 1").select("t", "pivot")
     cold = dealt.join(shared.hint("shuffle_hash"), "t").select("id", "n", "pivot")
 
-    def hot_sums(batches):
-        count, least = np.zeros(len(hot), np.int64), np.full(len(hot), np.iinfo(np.int64).max)
-        for batch in batches:
-            lists = batch.column(1)
-            at = np.searchsorted(hot, lists.flatten().to_numpy())
-            ids = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
-            np.add.at(count, at, 1)
-            np.minimum.at(least, at, ids)
-        some = np.flatnonzero(count)
-        if len(some):
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some]), pa.array(least[some])], ["k", "c", "pivot"])
-
-    pivots = np.full(len(hot), np.iinfo(np.int64).max)
-    if len(hot):
-        sums = reps.filter("size(hot) > 0").select("id", "hot").mapInArrow(hot_sums, "k long, c long, pivot long")
-        for row in sums.groupBy("k").agg(F.sum("c").alias("c"), F.min("pivot").alias("pivot")).filter("c > 1").collect():  # at most FREQUENT_SHINGLES
-            pivots[row["k"]] = row["pivot"]
+    pivots = np.zeros(len(hot), np.int64)
+    told = every.filter("n = -1").select(F.explode(F.arrays_zip("cold", "hot")).alias("x")).groupBy("x.cold").agg(F.min("x.hot").alias("pivot"))
+    for row in told.collect():  # at most FREQUENT_SHINGLES
+        pivots[row["cold"]] = row["pivot"]
 
     def hot_buckets(batches):
         for batch in batches:
             lists = batch.column(2)
             found = pivots[np.searchsorted(hot, lists.flatten().to_numpy())]
             row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            row, found = row[found < np.iinfo(np.int64).max], found[found < np.iinfo(np.int64).max]
             order = np.lexsort((found, row))
             row, found = row[order], found[order]
             new = np.concatenate([[True], (row[1:] != row[:-1]) | (found[1:] != found[:-1])]) if len(row) else np.zeros(0, bool)
@@ -248,8 +245,7 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
             block, ids, sizes = (np.array([x[k] for x in rows]) for k in range(3))
             keep = np.zeros(len(rows), bool)
             if len(rows) > 1:
-                marks = np.frombuffer(b"".join(x[3] for x in rows), np.uint64).reshape(len(rows), -1)
-                keep = may_be_similar(sizes, marks, percent, None if task[1] == task[2] else block != task[1])
+                keep = may_be_similar(sizes, [x[3] for x in rows], percent, None if task[1] == task[2] else block != task[1])
             if keep.any():
                 n = int(keep.sum())
                 yield pa.RecordBatch.from_arrays([*(pa.array([x] * n, k) for x, k in zip(task, (pa.int64(), pa.int32(), pa.int32()), strict=True)), pa.array(block[keep], pa.int32()), pa.array(ids[keep])], ["pivot", "i", "j", "block", "id"])
@@ -283,5 +279,5 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     roots = components(found)
     named = groups.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("mark").alias("gm"), F.col("n").alias("gn"), F.least("rep", F.coalesce("root", "rep")).alias("component"))
     return made.join(named, (F.col("mark") == F.col("gm")) & (F.col("n") == F.col("gn")), "left").select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component_id")
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "id")).otherwise(F.col("id")).alias("component_id")
     )

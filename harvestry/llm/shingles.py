@@ -61,38 +61,57 @@ class Shingler(dict):
         return np.unique((_stirred(out) & _LOW) | (top << np.uint64(56))).astype(np.int64)
 
 
-SKETCH_BITS = 1024
+#: The least and most bits of a sketch; sets of more tokens than a sketch has bits have one of twice the bits, and so on.
+LEAST_BITS, MOST_BITS = 512, 1 << 16
 
 
 def parity_sketch(tokens: np.ndarray) -> bytes:
-    """A bit for each of SKETCH_BITS classes of tokens: whether the set has an odd number of them.
+    """A bit for each class of tokens: whether the set has an odd number of them.
 
     Every token that only one of two sets has flips one bit, so their sketches differ in at most
-    as many bits as the sets differ in tokens.
+    as many bits as the sets differ in tokens. A longer sketch folds into a shorter one.
     """
-    return np.packbits((np.bincount(tokens & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+    bits = LEAST_BITS
+    while bits < min(2 * len(tokens), MOST_BITS):
+        bits *= 2
+    return np.packbits((np.bincount(tokens & (bits - 1), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def may_be_similar(sizes: np.ndarray, sketches: np.ndarray, percent: int = 80, parts: np.ndarray | None = None) -> np.ndarray:
-    """For each set whether some other may reach the similarity, by sizes and sketches (rows of uint64).
+def folded(sketch: bytes, words: int) -> np.ndarray:
+    """A sketch in so many 64-bit words, at most those that it has."""
+    out = np.frombuffer(sketch, np.uint64)
+    while len(out) > words:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
+
+
+def may_be_similar(sizes: np.ndarray, sketches: list[bytes], percent: int = 80, parts: np.ndarray | None = None) -> np.ndarray:
+    """For each set whether some other may reach the similarity, by sizes and sketches.
 
     With parts, only pairs of a part 0 and a part 1 count. No pair that reaches it is missed: such
-    sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes.
+    sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes. Sets are
+    compared within classes of sketch lengths, each with those of its own and of the next lengths
+    that sizes allow, folded to the shorter.
     """
     order = np.argsort(sizes, kind="stable")
-    n, s = sizes[order], sketches[order]
+    n = np.asarray(sizes)[order]
+    words = np.array([len(sketches[i]) // 8 for i in order])
     side = None if parts is None else np.asarray(parts)[order]
     out = np.zeros(len(n), bool)
     ends = np.searchsorted(n, 100 * n // percent, "right")
-    for i in range(len(n)):
-        rest = slice(i + 1, ends[i])
-        differ = np.bitwise_count(s[rest] ^ s[i]).sum(axis=1, dtype=np.int64)
-        near = differ * (100 + percent) <= (n[rest] + n[i]) * (100 - percent)
-        if side is not None:
-            near &= side[rest] != side[i]
-        if near.any():
-            out[i] = True
-            out[rest] |= near
+    for width in np.unique(words):
+        mine = np.flatnonzero(words == width)  # consecutive, as longer sketches are of larger sets
+        first, last = mine[0], ends[mine[-1]]
+        rows = np.array([folded(sketches[order[k]], width) for k in range(first, last)])
+        for i in mine:
+            rest = slice(i + 1, ends[i])
+            differ = np.bitwise_count(rows[i + 1 - first : ends[i] - first] ^ rows[i - first]).sum(axis=1, dtype=np.int64)
+            near = differ * (100 + percent) <= (n[rest] + n[i]) * (100 - percent)
+            if side is not None:
+                near &= side[rest] != side[i]
+            if near.any():
+                out[i] = True
+                out[rest] |= near
     back = np.empty(len(n), bool)
     back[order] = out
     return back
