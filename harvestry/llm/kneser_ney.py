@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.llm.files import Writer, mapped, unique
+from harvestry.llm.workers import kept
 from harvestry.scratch import materialise, new_folder
 
 #: Stands for the end of a text; no word has a line feed.
@@ -132,9 +133,6 @@ class Vocabulary(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-_vocabularies: dict[str, Vocabulary] = {}
-
-
 @dataclass
 class Model:
     """Where the arrays are, and the few numbers that hold for the whole model."""
@@ -155,12 +153,11 @@ class Model:
         return self.starts[-1]
 
     def vocabulary(self) -> Vocabulary:
-        key = repr(self.words[:1]) + repr(self.words[-1:])
-        if key not in _vocabularies:
-            _vocabularies.clear()
+        def fresh():
             _open.clear()
-            _vocabularies[key] = Vocabulary(self.words, self.starts, self.bits)
-        return _vocabularies[key]
+            return Vocabulary(self.words, self.starts, self.bits)
+
+        return kept(("words", repr(self.words[:1]) + repr(self.words[-1:])), fresh)
 
     def word_stats(self, ids: np.ndarray) -> np.ndarray:
         """c(w), c(h), N1(h), N2(h), N3+(h), N1+(.w) of ascending word numbers, a row each."""

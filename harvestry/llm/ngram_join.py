@@ -9,6 +9,8 @@ one set from the start.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from harvestry.llm.components import components
 from harvestry.llm.samples import bounded
 from harvestry.llm.shingles import RARE, Shingler, may_be_similar, parity_sketch, prefix_length
+from harvestry.llm.workers import kept
 from harvestry.scratch import materialise
 
 #: The order of tokens is steered by so many documents, frequent words and frequent shingles; results don't depend on it.
@@ -137,8 +140,8 @@ def _grouped(batches, keys: int):
     """(key values, rows of the other values) of consecutive rows with equal first columns."""
     now, rows = None, []
     for batch in batches:
-        columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
-        for row in zip(*columns, strict=True):
+        for values in zip(*batch.columns, strict=True):  # row by row: texts may be long
+            row = tuple(x.as_py() for x in values)
             if row[:keys] != now:
                 if rows:
                     yield now, rows
@@ -175,10 +178,12 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     spark = docs.sparkSession
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("body"))
     frequent, hot = _order(base)
+    run = uuid.uuid4().hex
+    shingler = lambda: kept(("shingles", run), lambda: Shingler(frequent))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def sets(batches):
-        make, most = Shingler(frequent), np.iinfo(np.int64).max
+        make, most = shingler(), np.iinfo(np.int64).max
         least = np.full(len(hot), most)
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -265,7 +270,7 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     told = placed.join(wanted, F.col("id") == F.col("wid")).select("pivot", "i", "j", "block", "id", "body")
 
     def search(batches):
-        make = Shingler(frequent)
+        make = shingler()
         for task, rows in _grouped(batches, 3):
             sets = [(i, block, found) for block, i, body in rows if len(found := make.tokens(body))]
             if len(sets) < 2:

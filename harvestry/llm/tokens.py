@@ -12,6 +12,8 @@ import unicodedata
 
 import numpy as np
 
+from harvestry.llm.workers import kept
+
 #: Distinct words kept by a process; beyond it the table starts anew.
 MAX_WORDS = 600_000
 
@@ -81,12 +83,6 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, text.split())) + end
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """The process's encoder for the vocabulary file at path."""
-    if path not in _encoders:
-        _encoders.clear()
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return kept(("tokens", path), lambda: WordEncoder(path))
