@@ -32,7 +32,7 @@ def labelled(spark, table, prose):
             words.insert(r.randrange(len(words)), r.choice(bad) + r.choice(["", ",", "!"]))
         junk = i % 5 == 1
         rows.append((i, " ".join(w.upper() + "##" if junk else w for w in words)))
-        if i % 3 < 2:
+        if i % 11 < 7:  # a fair sample of both classes: the prior is taken from it
             labels.append((i, int(not junk), int(toxic)))
     return rows, labels
 
