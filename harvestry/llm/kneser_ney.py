@@ -27,7 +27,7 @@ END = b"\n"
 _MIX = 0x9E3779B97F4A7C15
 _BACK = pow(_MIX, -1, 1 << 64)
 #: Bytes of text handled at once by a worker, distinct words that it remembers, and bigrams it gathers before sending them on.
-SLICE_BYTES, MAX_WORDS, MAX_BIGRAMS = 8 << 20, 1_000_000, 6_000_000
+SLICE_BYTES, MAX_WORDS, MAX_BIGRAMS = 4 << 20, 500_000, 3_000_000
 
 
 def slices(batches) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
@@ -246,7 +246,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             for ws in words:
                 seen.update(ws)
             seen[END] += len(words)
-            if len(seen) > 2 * MAX_WORDS:
+            if len(seen) > MAX_WORDS:
                 yield out()
         if seen:
             yield out()
