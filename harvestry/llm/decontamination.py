@@ -64,16 +64,21 @@ class Templates(dict):
         return out
 
 
-def _rolled(h: np.ndarray, n: int, width: int) -> np.ndarray:
-    out = np.full(n, width, np.uint64)
-    for k in range(width):
-        out = (out ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+def _rolled(columns: list[np.ndarray], n: int) -> np.ndarray:
+    out = np.full(n, len(columns), np.uint64)
+    for h in columns:
+        out = (out ^ h) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
     return out
 
 
-def windows(table: Templates, text: bytes | None, widths: list[int]):
-    """For each width: (hashes, a function from a place to the words in the slots there)."""
+def windows(table: Templates, text: bytes | None, widths: list[int], both: bool = False):
+    """For each width: (places, hashes, a function from an index of these to the words in the slots there).
+
+    Whether a window's first word is at the head of a sentence depends on what stands before the
+    window, which a copy elsewhere doesn't share. With both, windows whose first word looks like a
+    name come a second time, with that word read the other way.
+    """
     words = text.split() if text else []
     if not words:
         return
@@ -88,18 +93,26 @@ def windows(table: Templates, text: bytes | None, widths: list[int]):
         if n < 1:
             continue
         plain = before[width : width + n] - before[:n]
-        exact = plain < min(MIN_PLAIN, width)
-        hashes = np.where(exact, _rolled(literal, n, width), _rolled(template, n, width))
+        readings = [(np.arange(n), template, slot, plain)]
+        if both and len(at := np.flatnonzero(slot_in[:n] != slot_head[:n])):
+            readings.append((at, np.where(first, inside, head), np.where(first, slot_in, slot_head), plain[at] + np.where(first[at], -1, 1)))
+        for at, lead, lead_slot, plain in readings:
+            rows = slice(0, n) if len(at) == n else at
+            exact = plain < min(MIN_PLAIN, width)
+            word_for_word = _rolled([literal[k : k + n][rows] for k in range(width)], len(at))
+            typed = _rolled([(template if k else lead)[k : k + n][rows] for k in range(width)], len(at))
 
-        def slots(i, width=width, exact=exact):
-            return [] if exact[i] else [words[k].strip(_EDGE).lower().decode("utf-8", "replace") for k in range(i, i + width) if slot[k]]
+            def slots(j, width=width, at=at, exact=exact, lead_slot=lead_slot):
+                i = at[j]
+                return [] if exact[j] else [words[k].strip(_EDGE).lower().decode("utf-8", "replace") for k in range(i, i + width) if (slot if k > i else lead_slot)[k]]
 
-        yield width, hashes.astype(np.int64), slots
+            yield width, at, np.where(exact, word_for_word, typed).astype(np.int64), slots
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, body_hash, items, coverage) of the rows that hold a benchmark item, also with other
-    numbers, names or units in it; body_hash is xxhash64 of the text (null: of nothing).
+    numbers, names or units in it, wherever in a sentence it starts; body_hash is xxhash64 of the
+    text (null: of nothing).
 
     A row holds an item if, among windows that agree on what stands in each slot (one value of the
     item always meets the same value of the document, along one alignment), at least `coverage` of
@@ -119,7 +132,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
             for item, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 raw = body.as_py()
                 width = min(window, len(raw.split()))
-                for _, hashes, slots in windows(table, raw, [width] if width else []):
+                for _, _, hashes, slots in windows(table, raw, [width] if width else []):
                     rows += [(item, width, len(hashes), i, h, slots(i)) for i, h in enumerate(hashes.tolist())]
             if rows:
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string())]
@@ -137,10 +150,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
         for batch in batches:
             rows = []
             for i, body in enumerate(batch.column(2)):
-                for _, hashes, slots in windows(table, body.as_py(), widths):
+                for _, places, hashes, slots in windows(table, body.as_py(), widths, both=True):
                     b = hashes % FILTER_BITS  # like pmod: numpy's remainder has the divisor's sign
                     for k in np.flatnonzero(field[b >> 6] >> (b & 63) & 1).tolist():
-                        rows.append((i, k, int(hashes[k]), slots(k)))
+                        rows.append((i, int(places[k]), int(hashes[k]), slots(k)))
             if rows:
                 i, at, h, s = zip(*rows, strict=True)
                 ids = [batch.column(k).take(pa.array(i)) for k in (0, 1)]

@@ -168,6 +168,25 @@ def test_templates(spark, table, prose, odd):
     assert hits(spark, table, []) == {}
 
 
+def test_items_found_wherever_they_start(spark, table):
+    short, long = "What is the capital of France?", "Where did the old baker hide seven silver keys?"
+    items = spark.createDataFrame([(1, short), (2, long), (3, "on Monday Anna sold the boat")], "item_id bigint, text string")
+    rows = [
+        (1, f"Question: {short} Paris"),
+        (2, f"A heading\n{short}\nParis"),
+        (3, f"they asked me {short}"),
+        (4, short),
+        (5, "In Europe Paris is the capital of France"),
+        (6, "Q: " + short.replace("France", "Italy")),
+        (7, "Q: Where did the old baker hide"),
+        (8, "Q: " + long),
+        (9, "He left. On Monday Boris sold the boat"),
+    ]
+    found = {r.id: (r["items"], r.coverage) for r in decontamination.contaminated(table(rows), items, coverage=0.2).collect()}
+    assert {i: x for i, (x, _) in found.items()} == {1: [1], 2: [1], 3: [1], 4: [1], 6: [1], 7: [2], 8: [2], 9: [3]}
+    assert found[8][1] == 1.0
+
+
 def test_slots_must_agree(spark, table):
     items = spark.createDataFrame([(1, "first add 5 red beans then take 5 more beans and give 5 beans to the cook before you add 5 cups")], "item_id bigint, text string")
     same = "first add 8 red beans then take 8 more beans and give 8 beans to the cook before you add 8 cups"
