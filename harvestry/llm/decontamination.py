@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.scratch import materialise
@@ -31,36 +31,52 @@ UNITS = frozenset(
     usd eur gbp dollar dollars cent cents euro euros percent degree degrees kmh mph
     """.split()
 )
+_UNITS = frozenset(u.encode() for u in UNITS)
+_KINDS = {k: xxhash.xxh64_intdigest(k) for k in (b"<number>", b"<quantity>", b"<unit>", b"<name>")}
+#: First bytes of numbers and quantities, and last bytes of sentences.
+_STARTS, _ENDS = frozenset(bytes([c]) for c in b"+-$0123456789"), frozenset((b".", b"!", b"?"))
 _EDGE = b" \t\n\r.,;:!?()[]{}\"'`"
 _NUMBER = re.compile(rb"[+-]?[$]?\d[\d.,:/]*%?")
 _QUANTITY = re.compile(rb"([+-]?[$]?\d[\d.,:/]*)([a-z]+)", re.I)
 
 
 class Templates(dict):
-    """Word bytes to (literal hash, hash inside a sentence, hash at its head, ends a sentence, has a slot inside, has one at the head)."""
+    """Word bytes to a column of hashes (literal, inside a sentence, at its head) and of flags (ends a sentence, has a slot inside, has one at the head)."""
 
-    def __missing__(self, word: bytes) -> tuple:
-        if len(self) >= MAX_WORDS:
-            self.clear()
+    def __init__(self):
+        super().__init__()
+        self.hashes, self.flags = np.empty((3, MAX_WORDS), np.uint64), np.empty((3, MAX_WORDS), bool)
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        if len(self) + len(words) > MAX_WORDS:
+            self.clear()  # between texts only: numbers stay valid inside one
+        if len(words) > self.hashes.shape[1]:  # a single text with so many words
+            self.hashes, self.flags = np.empty((3, len(words)), np.uint64), np.empty((3, len(words)), bool)
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def __missing__(self, word: bytes) -> int:
         bare = word.strip(_EDGE)
         low = bare.lower()
-        literal = xxhash.xxh64_intdigest(low)
-        kind = b""
-        if _NUMBER.fullmatch(bare):
-            kind = b"<number>"
-        elif (q := _QUANTITY.fullmatch(bare)) and q[2].decode().lower() in UNITS:
-            kind = b"<quantity>"
-        elif low.isalpha() and low.decode() in UNITS:
+        lead = bare[:1]
+        kind, name = b"", False
+        if low in _UNITS:
             kind = b"<unit>"
-        if kind:
-            inside = head = xxhash.xxh64_intdigest(kind)
-            slots = (True, True)
-        else:
+        elif lead in _STARTS:
+            if _NUMBER.fullmatch(bare):
+                kind = b"<number>"
+            elif (q := _QUANTITY.fullmatch(bare)) and q[2].lower() in _UNITS:
+                kind = b"<quantity>"
+        elif not lead.islower():
             text = bare.decode("utf-8", "replace")
             name = len(text) > 1 and text[0].isupper() and text[1:].islower()
-            inside, head = xxhash.xxh64_intdigest(b"<name>") if name else literal, literal
-            slots = (name, False)
-        out = self[word] = (literal, inside, head, word.rstrip(b"\"')]}")[-1:] in (b".", b"!", b"?"), *slots)
+        out = self[word] = len(self)
+        hashes, flags = self.hashes, self.flags
+        hashes[0, out] = literal = xxhash.xxh64_intdigest(low)
+        hashes[1, out] = _KINDS[b"<name>"] if name else _KINDS.get(kind, literal)
+        hashes[2, out] = _KINDS.get(kind, literal)
+        flags[0, out] = word.rstrip(b"\"')]}")[-1:] in _ENDS
+        flags[1, out] = name or kind != b""
+        flags[2, out] = kind != b""
         return out
 
 
@@ -82,9 +98,9 @@ def windows(table: Templates, text: bytes | None, widths: list[int], both: bool
     words = text.split() if text else []
     if not words:
         return
-    columns = list(zip(*map(table.__getitem__, words), strict=True))
-    literal, inside, head = (np.array(c, np.uint64) for c in columns[:3])
-    ends, slot_in, slot_head = (np.array(c, bool) for c in columns[3:])
+    numbers = table.numbers(words)
+    literal, inside, head = table.hashes[:, numbers]
+    ends, slot_in, slot_head = table.flags[:, numbers]
     first = np.concatenate([[True], ends[:-1]])
     template, slot = np.where(first, head, inside), np.where(first, slot_head, slot_in)
     before = np.concatenate([[0], np.cumsum(~slot)])
@@ -99,14 +115,30 @@ def windows(table: Templates, text: bytes | None, widths: list[int], both: bool
         for at, lead, lead_slot, plain in readings:
             rows = slice(0, n) if len(at) == n else at
             exact = plain < min(MIN_PLAIN, width)
-            word_for_word = _rolled([literal[k : k + n][rows] for k in range(width)], len(at))
-            typed = _rolled([(template if k else lead)[k : k + n][rows] for k in range(width)], len(at))
+            hashes = _rolled([(template if k else lead)[k : k + n][rows] for k in range(width)], len(at))
+            if len(only := at[exact]):
+                hashes[exact] = _rolled([literal[only + k] for k in range(width)], len(only))
 
             def slots(j, width=width, at=at, exact=exact, lead_slot=lead_slot):
                 i = at[j]
                 return [] if exact[j] else [words[k].strip(_EDGE).lower().decode("utf-8", "replace") for k in range(i, i + width) if (slot if k > i else lead_slot)[k]]
 
-            yield width, at, np.where(exact, word_for_word, typed).astype(np.int64), slots
+            yield width, at, hashes.view(np.int64), slots
+
+
+def _agreeing(met: Column) -> Column:
+    """Places of the windows (at, pairs of values i of the item and d of the document) that agree."""
+    pairs = F.array_distinct(F.flatten(met["pairs"]))
+    values = F.array_distinct(F.transform(pairs, lambda p: p["i"]))
+
+    def in_most(p):
+        showing = F.size(F.filter(met, lambda w: F.exists(w["pairs"], lambda q: q["i"] == p["i"])))
+        return 2 * F.size(F.filter(met, lambda w: F.array_contains(w["pairs"], p))) > showing
+
+    # the one-element array binds the pairs to a name, so that they are found once an alignment
+    good = F.array(F.filter(pairs, lambda p: (p["i"] == p["d"]) | in_most(p)))
+    rest = F.flatten(F.transform(good, lambda g: F.filter(met, lambda w: F.forall(w["pairs"], lambda p: F.array_contains(g, p)))))
+    return F.when(F.size(pairs) == F.size(values), met["at"]).otherwise(rest["at"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -114,9 +146,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     numbers, names or units in it, wherever in a sentence it starts; body_hash is xxhash64 of the
     text (null: of nothing).
 
-    A row holds an item if, among windows that agree on what stands in each slot (one value of the
-    item always meets the same value of the document, along one alignment), at least `coverage` of
-    the item's windows are found. Items of fewer words than a window have one window, of all
+    A row holds an item if at least `coverage` of the item's windows are found that agree on what
+    stands in each slot: along one alignment, a value of the item stands for itself or for the
+    value of the document that it meets in more than half of its windows. Windows without slots
+    always count, and a window in conflict takes no other with it. Items of fewer words than a window have one window, of all
     their words. Null and empty texts and items match nothing. Rows are told apart by id (null is
     one too) and text, so repeated rows share a verdict, given once. Other columns aren't read.
 
@@ -162,9 +195,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     base = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("body_hash"), F.col(text).cast("binary").alias("body"))
     hits = base.mapInArrow(of_docs, "id long, body_hash long, d_at int, d_h long, d_slots array<string>")
     met = hits.join(wanted, F.col("d_h") == F.col("h")).filter("size(slots) = size(d_slots)")
-    pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("slots").alias("i"), F.col("d_slots").alias("d")))))
-    aligned = met.groupBy("id", "body_hash", "item", "n", (F.col("d_at") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("places"), pairs.alias("pairs"))
-    agreeing = aligned.filter(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
+    window = F.struct("at", F.array_distinct(F.arrays_zip(F.col("slots").alias("i"), F.col("d_slots").alias("d"))).alias("pairs"))
+    aligned = met.groupBy("id", "body_hash", "item", "n", (F.col("d_at") - F.col("at")).alias("shift")).agg(F.collect_set(window).alias("met"))
+    agreeing = aligned.withColumn("places", _agreeing(F.col("met"))).filter(F.size("places") > 0)
     share = F.size(F.array_distinct(F.flatten(F.collect_list("places")))) / F.first("n")
     found = agreeing.groupBy("id", "body_hash", "item").agg(share.alias("share")).filter(F.col("share") >= coverage)
     return found.groupBy("id", "body_hash").agg(F.sort_array(F.collect_set("item")).alias("items"), F.max("share").alias("coverage"))

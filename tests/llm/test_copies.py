@@ -195,6 +195,18 @@ def test_slots_must_agree(spark, table):
     assert got == {1}
 
 
+def test_windows_in_conflict_take_no_others(spark, table, prose):
+    a, b, c = (" ".join(w for w in prose(k, 90).split() if w.isalpha())[:90].rsplit(" ", 1)[0] for k in (41, 42, 43))
+    text = "{} they picked {} apples {} which they sold for {} dollars {}"
+    items = spark.createDataFrame([(1, text.format(a, 5, b, 5, c)), (2, "7 red 7 dry 7 old 7 new 7 wet 7")], "item_id bigint, text string")
+    rows = [(1, text.format(a, 5, b, 7, c)), (2, text.format(a, 3, b, 7, c)), (3, text.format(a, 3, b, 3, c)), (4, text.format(a, 5, b, 5, c)), (5, "1 red 2 dry 3 old 4 new 5 wet 6")]
+    found = {r.id: (r["items"], r.coverage) for r in decontamination.contaminated(table(rows), items).collect()}
+    n = len(text.format(a, 5, b, 5, c).split()) - 5
+    assert found.keys() == {1, 2, 3, 4} and {tuple(x) for x, _ in found.values()} == {(1,)}
+    assert found[3][1] == found[4][1] == 1
+    assert found[1][1] == pytest.approx((n - 6) / n) and found[2][1] == pytest.approx((n - 12) / n)
+
+
 def test_decontaminate_keeps_rows(spark, table, odd):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     docs = table([*odd, (50, ITEMS[0][1]), (None, ITEMS[0][1])])
