@@ -25,7 +25,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many share; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, distinct=True)
     text = F.when(out["text"].isNull() & (out["__dropped"] == 0), out["text"]).otherwise(out["__kept"])
     columns = []
     for c in docs.columns:

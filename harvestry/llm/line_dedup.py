@@ -17,17 +17,18 @@ def line_key(line: Column) -> Column:
     return F.translate(F.trim(line, F.lit(_SPACE)), _UPPER, _LOWER)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, key: str = "doc_id", text: str = "text", distinct: bool = False) -> DataFrame:
     """docs with, added, __lines (long), __dropped (long) and __kept (string).
 
     A line whose key has at least min_chars code points and occurs in at least min_docs rows is
     dropped, except from the rows with the largest id that hold it; all its occurrences go or stay
-    together. A null or empty text is one empty line and stays "". Each input row is a document;
-    repeated rows count each. Rows with a null id are left as they are and not counted. Columns of
+    together. A null or empty text is one empty line and stays "". With distinct, as the query and the
+    pipeline have it, an id is a document, however many rows it has; without, each input row is one
+    and repeated rows count each. Rows with a null id are left as they are and not counted. Columns of
     docs are passed on untouched, whatever their names.
 
     Only hashes (128 bits), ids and positions of long enough lines are shuffled for counting, with
-    map-side sums; the join back to them is one that adaptive execution splits at a hot line. The
+    map-side sums (with distinct, after a shuffle that makes hashes and ids distinct); the join back to them is one that adaptive execution splits at a hot line. The
     texts move once, to meet the positions to drop.
     """
     doc = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
@@ -45,7 +46,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, key: st
         ids.select("__id", F.array_distinct(F.transform(F.filter(F.split("__t", "\n"), lambda x: F.length(x) >= min_chars), line_key)).alias("ks"))
         .select("__id", F.explode("ks").alias("k"))
         .filter(F.length("k") >= min_chars)
-        .groupBy(F.xxhash64("k").alias("a"), F.xxhash64(F.lit(31), "k").alias("b"))
+        .select(F.xxhash64("k").alias("a"), F.xxhash64(F.lit(31), "k").alias("b"), "__id")
+    )
+    held = (
+        (held.distinct() if distinct else held)
+        .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"), F.max("__id").alias("keeper"))
         .filter(F.col("n") >= min_docs)
         .select("a", "b", "keeper")

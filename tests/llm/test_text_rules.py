@@ -1,10 +1,12 @@
 import random
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from harvestry.llm import line_dedup, quality_rules, sharding
+import corpus_pipeline
+from harvestry.llm import line_dedup, quality_rules, queries, sharding
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -90,6 +92,26 @@ def test_line_dedup_against_brute_force(table, odd):
     assert line_dedup.dedup_lines(table([])).count() == 0
 
 
+def test_line_dedup_query_counts_distinct_documents(spark, table, tmp_path):
+    same, other = "one line that is long enough for this", "another line that is long enough too"
+    rows = [(5, same), (6, same), (6, same), (7, other), (8, f"{other}\nx"), (8, other), (9, f"{same[::-1]}\n{other}"), (None, same), (None, same)]
+    table(rows).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    held = {}
+    for i, t in rows:
+        for line in t.split("\n"):
+            held.setdefault(line, set()).add(i)
+    keeper = {x: max(ids) for x, ids in ((x, ids - {None}) for x, ids in held.items()) if len(x) >= 20 and len(ids) >= 3}
+    assert set(keeper) == {other}
+    want = sorted((i or 0, sum(x in keeper and i is not None and i < keeper[x] for x in t.split("\n"))) for i, t in rows)
+    assert sorted((r.doc_id or 0, r.n_dropped) for r in queries.op4_line_dedup(spark, str(tmp_path)).collect()) == want
+    sql = duckdb.connect()
+    sql.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet' WHERE doc_id IS NOT NULL")
+    gone = dict(sql.execute(f"SELECT doc_id, n_dropped FROM ({queries.OP4_SQL})").fetchall())
+    assert gone == {i: sum(n for j, n in want if j == i) for i, _ in rows if i is not None}
+    piped = corpus_pipeline.without_repeated_lines(spark, table(rows), str(tmp_path)).collect()
+    assert [r.text for r in piped if r.doc_id == 5] == [same]
+
+
 def test_shards(table, odd):
     rows = [*odd, *((i, f"t{i}") for i in range(10, 400))]
     out = sharding.assign_shards(table(rows), 8).collect()
