@@ -39,10 +39,16 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group of near copies."""
-    groups = ngram_join.similar_documents(docs)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("__gone"), "left_anti")
+    """One row of each group of near copies: that of the least id (null comes last), of its rows that of the least hash of the text.
+
+    Rows are compared, not ids: repeated rows and those with a null id are copies like others, and
+    of an id with many texts only those go that have a copy that stays. Texts without words stay.
+    """
+    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "__row")
+    groups = ngram_join.similar_documents(rows, key="__row").join(rows.select("__row", rank.alias("rank")), "__row")
+    kept = groups.groupBy("component_id").agg(F.min("rank").alias("first")).select(F.col("first.__row").alias("__kept"))
+    return rows.join(kept.hint("shuffle_hash"), F.col("__row") == F.col("__kept"), "left_semi").drop("__row")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

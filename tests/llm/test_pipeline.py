@@ -80,6 +80,18 @@ def test_each_stage_against_brute_force(spark, folder, vocabulary):
     assert len({r.sequence_id for r in got}) == len(packing.best_fit([n for _, n in sizes], packing.CAPACITY))
 
 
+def test_one_row_of_similar_stays(spark, folder, table, prose):
+    r = random.Random(4)
+    a, b, c, d = (prose(7000 + k, 90) for k in range(4))
+    rows = [(1, a), (1, a), (2, near(r, a, 1)), (None, a), (None, b), (None, b), (None, near(r, b, 1)), (5, c), (5, near(r, d, 1)), (4, d), (6, c), (7, ""), (8, None), (None, None)]
+    out = pairs(corpus_pipeline.one_of_similar(spark, table(rows), folder))
+    nulls = [x for x in out if x[0] is None and x[1]]
+    assert len(nulls) == 1 and nulls[0] in rows[4:7]
+    assert [x for x in out if x not in nulls] == sorted([(1, a), (5, c), (4, d), (7, ""), (8, None), (None, None)], key=str)
+    again = pairs(corpus_pipeline.one_of_similar(spark, table(rows[::-1]), folder))
+    assert again == out
+
+
 def test_run_and_empty_tables(spark, folder, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() > 0
     for name in ("documents", "labels", "benchmark"):
