@@ -11,16 +11,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used where the session names no folder, as in tests on one machine.
+#: Used where the session names no folder and everything runs on one machine, as in tests.
 DEFAULT_DIR = "file:///tmp/checkpoints"
+#: Shuffle files of a finished write go at once: what it wrote takes their place.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-_made: list[tuple[SparkSession, str]] = []
+_made: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; set to DEFAULT_DIR only where it is unset."""
+    """The folder in spark.checkpoint.dir; DEFAULT_DIR only where it is unset and the master is local.
+
+    On a cluster a machine-local folder would hold each executor's part on its own disk, so a
+    session there must name one.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         found = DEFAULT_DIR
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -28,9 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under shared_dir(); discard() or the session's end removes it."""
+    """A fresh folder name under shared_dir(); drop(), discard() or the session's end removes it."""
     path = f"{shared_dir(spark)}/harvestry-{uuid.uuid4().hex}/{label}"
-    _made.append((spark, path.rsplit("/", 1)[0]))
+    _made[path.rsplit("/", 1)[0]] = spark
     return path
 
 
@@ -38,20 +47,41 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._harvestry_folder = path.rsplit("/", 1)[0]
+    return out
+
+
+def drop(*tables: DataFrame | str) -> None:
+    """Remove tables of materialise(), or folders of new_folder(), that nothing will read again."""
+    for table in tables:
+        folder = table.rsplit("/", 1)[0] if isinstance(table, str) else table._harvestry_folder
+        if (spark := _made.pop(folder, None)) is not None:
+            _delete(spark, folder)
 
 
 def discard() -> None:
     """Remove all folders made so far; results that read them must have been consumed."""
     while _made:
-        spark, path = _made.pop()
+        folder, spark = _made.popitem()
         try:
-            jvm = spark._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(spark, folder)
         except Exception:  # noqa: BLE001  the session may be gone already
             return
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 atexit.register(discard)
