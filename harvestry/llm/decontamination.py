@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvestry.llm.samples import free_names
+from harvestry.llm.workers import map_batches
 from harvestry.scratch import materialise
 
 #: Words in a window, and the share of an item's windows that a document must show.
@@ -19,7 +21,8 @@ WINDOW, COVERAGE = 6, 0.4
 MIN_PLAIN = 2
 #: Bits of the filter that keeps windows of documents that no item has from being moved.
 FILTER_BITS = 1 << 24
-MAX_WORDS = 600_000
+#: Distinct words kept by a process; beyond it, between texts, the table starts anew.
+MAX_WORDS = 250_000
 
 # Words for units of measure and money.
 UNITS = frozenset(
@@ -127,18 +130,23 @@ def windows(table: Templates, text: bytes | None, widths: list[int], both: bool
 
 
 def _agreeing(met: Column) -> Column:
-    """Places of the windows (at, pairs of values i of the item and d of the document) that agree."""
+    """Places of the windows (at, pairs of values i of the item and d of the document) that agree on a one-to-one mapping."""
     pairs = F.array_distinct(F.flatten(met["pairs"]))
-    values = F.array_distinct(F.transform(pairs, lambda p: p["i"]))
+    one_each = (F.size(pairs) == F.size(F.array_distinct(pairs["i"]))) & (F.size(pairs) == F.size(F.array_distinct(pairs["d"])))
 
-    def in_most(p):
-        showing = F.size(F.filter(met, lambda w: F.exists(w["pairs"], lambda q: q["i"] == p["i"])))
-        return 2 * F.size(F.filter(met, lambda w: F.array_contains(w["pairs"], p))) > showing
+    def weighed(p):
+        showing = F.size(F.filter(met, lambda w: F.array_contains(w["pairs"], p)))
+        asked = F.size(F.filter(met, lambda w: F.exists(w["pairs"], lambda q: q["i"] == p["i"])))
+        return F.struct((2 * showing > asked).alias("most"), showing.alias("n"), (p["i"] == p["d"]).alias("same"), p["i"].alias("i"), p["d"].alias("d"))
 
-    # the one-element array binds the pairs to a name, so that they are found once an alignment
-    good = F.array(F.filter(pairs, lambda p: (p["i"] == p["d"]) | in_most(p)))
+    def beaten(ps, p):
+        return F.exists(ps, lambda q: ((q["i"] == p["i"]) | (q["d"] == p["d"])) & (F.struct(q["n"], q["same"], q["i"], q["d"]) > F.struct(p["n"], p["same"], p["i"], p["d"])))
+
+    # the one-element arrays bind what is used more than once to a name, so that it is found once an alignment
+    likely = F.transform(F.array(F.transform(pairs, weighed)), lambda ps: F.filter(ps, lambda p: p["most"] | p["same"]))
+    good = F.transform(likely, lambda ps: F.transform(F.filter(ps, lambda p: ~beaten(ps, p)), lambda p: F.struct(p["i"].alias("i"), p["d"].alias("d"))))
     rest = F.flatten(F.transform(good, lambda g: F.filter(met, lambda w: F.forall(w["pairs"], lambda p: F.array_contains(g, p)))))
-    return F.when(F.size(pairs) == F.size(values), met["at"]).otherwise(rest["at"])
+    return F.when(one_each, met["at"]).otherwise(rest["at"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -171,7 +179,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["item", "width", "n", "at", "h", "slots"])
 
-    wanted = materialise(items.mapInArrow(of_items, "item long, width int, n int, at int, h long, slots array<string>"), "windows")
+    wanted = materialise(map_batches(items, of_items, "item long, width int, n int, at int, h long, slots array<string>"), "windows")
     widths = sorted(r[0] for r in wanted.select("width").distinct().collect())  # window at most
     marks = wanted.select(F.pmod("h", F.lit(FILTER_BITS)).alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("bits"))
     field = np.zeros(FILTER_BITS // 64, np.int64)
@@ -193,7 +201,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
                 yield pa.RecordBatch.from_arrays([*ids, pa.array(at, pa.int32()), pa.array(h, pa.int64()), pa.array(s, pa.list_(pa.string()))], ["id", "body_hash", "d_at", "d_h", "d_slots"])
 
     base = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("body_hash"), F.col(text).cast("binary").alias("body"))
-    hits = base.mapInArrow(of_docs, "id long, body_hash long, d_at int, d_h long, d_slots array<string>")
+    hits = map_batches(base, of_docs, "id long, body_hash long, d_at int, d_h long, d_slots array<string>")
     met = hits.join(wanted, F.col("d_h") == F.col("h")).filter("size(slots) = size(d_slots)")
     window = F.struct("at", F.array_distinct(F.arrays_zip(F.col("slots").alias("i"), F.col("d_slots").alias("d"))).alias("pairs"))
     aligned = met.groupBy("id", "body_hash", "item", "n", (F.col("d_at") - F.col("at")).alias("shift")).agg(F.collect_set(window).alias("met"))
@@ -205,6 +213,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """docs, all columns and rows as they are, without the contaminated() ones."""
-    found = contaminated(docs, benchmark, **how).select(F.col("id").alias("__id"), F.col("body_hash").alias("__hash"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
+    i, h = free_names(docs, "id", "hash")
+    found = contaminated(docs, benchmark, **how).select(F.col("id").alias(i), F.col("body_hash").alias(h))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(i)) & (F.xxhash64(docs["text"]) == F.col(h))
     return docs.join(found.hint("shuffle_hash"), same, "left_anti")

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 
 #: Every so many values, the place of one is written down, so that select scans few bytes.
 SAMPLE = 256
+#: Values coded at once; a multiple of 8, so that each step's low bits end with a byte.
+_STEP = 1 << 15
 
 
 class EliasFano:
     """A non-decreasing sequence of integers from 0 in about 2 + log2(universe / n) bits a value.
 
     The low bits stand packed; the high bits are unary in a bit vector in which the i-th set bit
-    sits at high(i) + i. get(i) selects it from the nearest sampled place.
+    sits at high(i) + i. Both selects, of one value and of a run of them, start at the nearest
+    sampled place and unpack no more than they return.
     """
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, samples: np.ndarray):
@@ -20,18 +25,36 @@ class EliasFano:
 
     @classmethod
     def build(cls, values: np.ndarray) -> EliasFano:
-        values = np.asarray(values, np.int64)
-        n = len(values)
-        if n and (values[0] < 0 or np.any(np.diff(values) < 0)):
-            raise ValueError("values must be from 0 and must not decrease")
-        top = int(values[-1]) if n else 0
+        values = np.asarray(values)
+        n, top = len(values), int(values[-1]) if len(values) else 0
+        return cls.stream(n, top, (values[i : i + _STEP] for i in range(0, n, _STEP)))
+
+    @classmethod
+    def stream(cls, n: int, top: int, parts: Iterable[np.ndarray]) -> EliasFano:
+        """Code n values, the last one top, that come in parts of _STEP (the last may be shorter)."""
         low_bits = max(0, (top // n).bit_length() - 1) if n else 0
-        bits = (values[:, None] >> np.arange(low_bits)) & 1
-        low = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
-        ones = (values >> low_bits) + np.arange(n)
-        flags = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
-        flags[ones] = 1
-        return cls(n, low_bits, low, np.packbits(flags, bitorder="little"), ones[::SAMPLE].astype("<u8"))
+        low = np.zeros((n * low_bits + 7) // 8, np.uint8)
+        high = np.zeros(((top >> low_bits) + n + 7) // 8 if n else 0, np.uint8)
+        samples = np.zeros(-(-n // SAMPLE), "<u8")
+        at, last = 0, 0
+        for part in parts:
+            part = np.asarray(part, np.int64)
+            if not len(part):
+                continue
+            if part[0] < last or np.any(np.diff(part) < 0):
+                raise ValueError("values must be from 0 and must not decrease")
+            bits = ((part[:, None] >> np.arange(low_bits)) & 1).astype(np.uint8)
+            packed = np.packbits(bits.ravel(), bitorder="little")
+            start = at * low_bits // 8
+            low[start : start + len(packed)] = packed
+            ones = (part >> low_bits) + np.arange(at, at + len(part))
+            np.bitwise_or.at(high, ones >> 3, (1 << (ones & 7)).astype(np.uint8))
+            first = -at % SAMPLE
+            samples[(at + first) // SAMPLE :][: len(ones[first::SAMPLE])] = ones[first::SAMPLE]
+            at, last = at + len(part), int(part[-1])
+        if at != n or last != top:
+            raise ValueError("not as many values, or another last one, as was said")
+        return cls(n, low_bits, low, high, samples)
 
     def parts(self) -> list[np.ndarray]:
         return [self.low, self.high, self.samples]
@@ -59,11 +82,23 @@ class EliasFano:
         raw = int.from_bytes(self.low[start // 8 : (start + self.low_bits + 7) // 8].tobytes(), "little")
         return (place - i) << self.low_bits | raw >> start % 8 & (1 << self.low_bits) - 1
 
-    def all(self) -> np.ndarray:
-        """Every value."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        values = (ones - np.arange(self.n)) << self.low_bits
+    def run(self, i: int, j: int) -> np.ndarray:
+        """The values from i to before j, selected together: j - i of them are unpacked, and those
+        between the samples around them."""
+        if not 0 <= i <= j <= self.n:
+            raise IndexError((i, j))
+        if i == j:
+            return np.empty(0, np.int64)
+        first = i // SAMPLE
+        begin = int(self.samples[first]) // 8
+        after = -(-j // SAMPLE)
+        end = int(self.samples[after]) // 8 + 1 if after < len(self.samples) else len(self.high)
+        # the byte of the sample may hold ones of values before it
+        ones = np.flatnonzero(np.unpackbits(self.high[begin:end], bitorder="little")) + 8 * begin
+        ones = ones[np.searchsorted(ones, int(self.samples[first])) + i - first * SAMPLE :][: j - i]
+        values = (ones - np.arange(i, j)) << self.low_bits
         if self.low_bits:
-            bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-            values = values | bits.astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
+            start = i * self.low_bits
+            bits = np.unpackbits(self.low[start // 8 : (j * self.low_bits + 7) // 8], bitorder="little")[start % 8 :][: (j - i) * self.low_bits]
+            values = values | bits.reshape(j - i, self.low_bits).astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
         return values

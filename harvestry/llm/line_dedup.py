@@ -18,64 +18,49 @@ def line_key(line: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, key: str = "doc_id", text: str = "text", distinct: bool = False) -> DataFrame:
-    """docs with, added, __lines (long), __dropped (long) and __kept (string).
+    """row (a struct of all columns of docs), n_lines long, n_dropped long and kept string, a row for each of docs.
 
     A line whose key has at least min_chars code points and occurs in at least min_docs rows is
     dropped, except from the rows with the largest id that hold it; all its occurrences go or stay
-    together. A null or empty text is one empty line and stays "". With distinct, as the query and the
-    pipeline have it, an id is a document, however many rows it has; without, each input row is one
-    and repeated rows count each. Rows with a null id are left as they are and not counted. Columns of
-    docs are passed on untouched, whatever their names.
+    together. A null or empty text is one empty line and stays "". With distinct, as the query and
+    the pipeline have it, an id is a document, however many rows it has; without, each input row is
+    one and repeated rows count each. Rows with a null id are left as they are and not counted.
+    Columns of docs stay inside row, so that none can clash, whatever its name.
 
-    Only hashes (128 bits), ids and positions of long enough lines are shuffled for counting, with
-    map-side sums (with distinct, after a shuffle that makes hashes and ids distinct); the join back to them is one that adaptive execution splits at a hot line. The
-    texts move once, to meet the positions to drop.
+    Texts are split once: the hashes (128 bits), ids and positions of long enough lines are
+    written, and both the count, with map-side sums, and the join back read them; that join is one
+    that adaptive execution splits at a hot line. The texts move once, to meet the positions to drop.
     """
-    doc = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
-    body = F.coalesce(F.col(f"__row.`{text}`"), F.lit(""))
-    doc = doc.select("__row", F.col(f"__row.`{key}`").alias("__id"), F.xxhash64(body).alias("__h"))
-    ids = docs.select(F.col(f"`{key}`").alias("__id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__t")).filter("__id is not null")
+    doc = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    body = F.coalesce(F.col(f"row.`{text}`"), F.lit(""))
+    doc = doc.select("row", F.col(f"row.`{key}`").alias("id"), F.xxhash64(body).alias("h"))
+    texts = docs.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).filter("id is not null")
+    # rows of one id and text are told apart only for counting
     lines = (
-        ids.select("__id", F.xxhash64("__t").alias("__h"), F.posexplode(F.split("__t", "\n")).alias("pos", "line"))
+        texts.select("id", F.xxhash64("t").alias("h"), *([] if distinct else [F.monotonically_increasing_id().alias("nth")]), F.posexplode(F.split("t", "\n")).alias("pos", "line"))
         .filter(F.length("line") >= min_chars)
-        .select("__id", "__h", "pos", line_key(F.col("line")).alias("k"))
+        .withColumn("k", line_key(F.col("line")))
         .filter(F.length("k") >= min_chars)
-        .select("__id", "__h", "pos", F.xxhash64("k").alias("a"), F.xxhash64(F.lit(31), "k").alias("b"))
-    )
-    held = (
-        ids.select("__id", F.array_distinct(F.transform(F.filter(F.split("__t", "\n"), lambda x: F.length(x) >= min_chars), line_key)).alias("ks"))
-        .select("__id", F.explode("ks").alias("k"))
-        .filter(F.length("k") >= min_chars)
-        .select(F.xxhash64("k").alias("a"), F.xxhash64(F.lit(31), "k").alias("b"), "__id")
-    )
-    held = (
-        (held.distinct() if distinct else held)
-        .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("__id").alias("keeper"))
-        .filter(F.col("n") >= min_docs)
-        .select("a", "b", "keeper")
+        .select("id", "h", *([] if distinct else ["nth"]), "pos", F.xxhash64("k").alias("a"), F.xxhash64(F.lit(31), "k").alias("b"))
     )
+    lines = materialise(lines, "lines")
+    holders = lines.select("a", "b", "id", *([] if distinct else ["nth"])).distinct()
+    held = holders.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).filter(F.col("n") >= min_docs).select("a", "b", "keeper")
     # written first, so that the join reads plain exchanges, which adaptive execution can split
     held = materialise(held, "held")
     drops = (
         lines.join(held, ["a", "b"])
-        .filter(F.col("__id") < F.col("keeper"))
-        .groupBy("__id", "__h")
-        .agg(F.collect_set("pos").alias("__drop"))
-        .select(F.col("__id").alias("__i"), F.col("__h").alias("__g"), "__drop")
+        .filter(F.col("id") < F.col("keeper"))
+        .groupBy(F.col("id").alias("i"), F.col("h").alias("g"))
+        .agg(F.collect_set("pos").alias("drop"))
     )
-    met = doc.join(drops.hint("shuffle_hash"), (F.col("__id") == F.col("__i")) & (F.col("__h") == F.col("__g")), "left")
-    split = F.split(F.coalesce(F.col(f"__row.`{text}`"), F.lit("")), "\n")
+    met = doc.join(drops.hint("shuffle_hash"), (F.col("id") == F.col("i")) & (F.col("h") == F.col("g")), "left")
+    split = F.split(body, "\n")
 
     def rest(lines: Column) -> Column:
-        keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__drop"))
+        keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop"))
         return F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n")
 
     # the one-element array binds the split text to a name, so that it is split once a row
-    kept = F.when(F.col("__drop").isNull(), F.coalesce(F.col(f"__row.`{text}`"), F.lit(""))).otherwise(F.get(F.transform(F.array(split), rest), F.lit(0)))
-    return met.select(
-        *[F.col(f"__row.`{c}`").alias(c) for c in docs.columns],
-        F.size(split).cast("long").alias("__lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("__dropped"),
-        kept.alias("__kept"),
-    )
+    kept = F.when(F.col("drop").isNull(), body).otherwise(F.get(F.transform(F.array(split), rest), F.lit(0)))
+    return met.select("row", F.size(split).cast("long").alias("n_lines"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from harvestry.llm.components import components
 from harvestry.llm.samples import bounded
 from harvestry.llm.shingles import RARE, Shingler, may_be_similar, parity_sketch, prefix_length
-from harvestry.llm.workers import kept
+from harvestry.llm.workers import kept, map_batches
 from harvestry.scratch import materialise
 
 #: The order of tokens is steered by so many documents, frequent words and frequent shingles; results don't depend on it.
@@ -119,7 +119,7 @@ def _order(docs: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["w"])
 
-    counted = sample.mapInArrow(words, "w binary").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counted = map_batches(sample, words, "w binary").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     rows = counted.orderBy(F.desc("n"), "w").limit(FREQUENT_WORDS).collect()
     total = max(1, sum(r["n"] for r in rows))
     frequent = {bytes(r["w"]): min(RARE, (total // r["n"]).bit_length()) for r in rows if r["n"] > 1}
@@ -131,7 +131,7 @@ def _order(docs: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
                 if len(found := make.tokens(text.as_py())):
                     yield pa.RecordBatch.from_arrays([pa.array(found)], ["t"])
 
-    often = sample.mapInArrow(shingled, "t long").groupBy("t").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FREQUENT_IN)
+    often = map_batches(sample, shingled, "t long").groupBy("t").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FREQUENT_IN)
     hot = np.sort(np.array([r["t"] for r in often.orderBy(F.desc("n"), "t").limit(FREQUENT_SHINGLES).collect()], np.int64))
     return frequent, hot
 
@@ -209,7 +209,7 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([-1], pa.int64()), pa.array([b""], pa.binary()), pa.array([b""], pa.binary()), *both], names)
 
     names = ["id", "n", "mark", "sketch", "cold", "hot"]
-    every = materialise(base.mapInArrow(sets, "id long, n long, mark binary, sketch binary, cold array<long>, hot array<long>"), "sets")
+    every = materialise(map_batches(base, sets, "id long, n long, mark binary, sketch binary, cold array<long>, hot array<long>"), "sets")
     made = every.filter("n >= 0")
     real = made.filter("n > 0 and id is not null")
     groups = materialise(real.groupBy("mark", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "groups")
@@ -236,10 +236,12 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
             row, found = row[new], found[new]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(found)], ["id", "n", "pivot"])
 
-    members = cold.unionByName(reps.filter("size(hot) > 0").select("id", "n", "hot").mapInArrow(hot_buckets, "id long, n long, pivot long")) if len(hot) else cold
+    members = cold.unionByName(map_batches(reps.filter("size(hot) > 0").select("id", "n", "hot"), hot_buckets, "id long, n long, pivot long")) if len(hot) else cold
     members = materialise(members.distinct(), "members")
     tokens = F.ceil(F.sum("n") / BLOCK_TOKENS)
     plan = members.groupBy(F.col("pivot").alias("p")).agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), tokens).cast("int").alias("blocks"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # written first, so that the join reads plain exchanges, which adaptive execution can split at a hot pivot
+    plan = materialise(plan, "plan")
     placed = members.join(plan, F.col("pivot") == F.col("p")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
     sketched = placed.join(real.select(F.col("id").alias("sid"), "sketch"), F.col("id") == F.col("sid"))
@@ -256,7 +258,7 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([*(pa.array([x] * n, k) for x, k in zip(task, (pa.int64(), pa.int32(), pa.int32()), strict=True)), pa.array(block[keep], pa.int32()), pa.array(ids[keep])], ["pivot", "i", "j", "block", "id"])
 
     dealt_tasks = lambda df: df.repartition(parts, "pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
-    placed = materialise(dealt_tasks(spread).mapInArrow(likely, "pivot long, i int, j int, block int, id long"), "likely")
+    placed = materialise(map_batches(dealt_tasks(spread), likely, "pivot long, i int, j int, block int, id long"), "likely")
 
     # a filter of fixed size first, so that only texts that some bucket may want are moved
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
@@ -280,7 +282,7 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
             if edges:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*_stars(list(ids), edges), strict=True)], ["a", "b"])
 
-    found = dealt_tasks(told).mapInArrow(search, "a long, b long")
+    found = map_batches(dealt_tasks(told), search, "a long, b long")
     roots = components(found)
     named = groups.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("mark").alias("gm"), F.col("n").alias("gn"), F.least("rep", F.coalesce("root", "rep")).alias("component"))
     return made.join(named, (F.col("mark") == F.col("gm")) & (F.col("n") == F.col("gn")), "left").select(

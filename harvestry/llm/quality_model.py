@@ -10,24 +10,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.llm.samples import bounded, fold
+from harvestry.llm.samples import agreed, bounded, fold, sample_texts
+from harvestry.llm.workers import map_batches
 
 #: At most so many labelled documents of each class are learned from.
 MAX_PER_CLASS = 4000
 #: Distinct words kept by a process when scoring; beyond it the table starts anew.
-MAX_WORDS = 600_000
+MAX_WORDS = 250_000
 
 
 def word_features(word: bytes, mask: int, shortest: int = 3, longest: int = 5) -> list[int]:
     """Buckets of a word and of the n-grams of its characters, with < and > at its ends.
 
-    Characters are bytes here, so that nothing needs to be decoded. Very long words are taken as
-    a whole; their n-grams are as many as their bytes.
+    Characters are code points (bytes that are no UTF-8 count as one replacement each), hashed as
+    their UTF-8. Very long words are taken as a whole; their n-grams are as many as their characters.
     """
     marked = b"<" + word + b">"
     out = [zlib.crc32(marked, 1) & mask]
+    if word.isascii():
+        for n in range(shortest, longest + 1):
+            out += [zlib.crc32(marked[i : i + n]) & mask for i in range(len(marked) - n + 1)]
+        return out
+    parts = [c.encode() for c in marked.decode("utf-8", "replace")]
     for n in range(shortest, longest + 1):
-        out += [zlib.crc32(marked[i : i + n]) & mask for i in range(len(marked) - n + 1)]
+        out += [zlib.crc32(b"".join(parts[i : i + n])) & mask for i in range(len(parts) - n + 1)]
     return out
 
 
@@ -114,19 +120,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_per_cl
     """A model from labelled rows outside the held-out fold, at most max_per_class of each class.
 
     If one class is sampled, the other is sampled by the same factor, so the shares stay. Null
-    ids, texts and labels are left out. Only the sample comes to the driver.
+    ids, texts and labels, and ids with both labels, are left out. Only the sample, bounded in
+    documents and bytes, comes to the driver.
     """
     remainder = fold(F.col("doc_id"), folds)
-    known = labels.select(F.col("doc_id").alias("sid"), F.col(label).cast("int").alias("y")).filter((remainder >= 0) & (remainder != held) & F.col(label).isin(0, 1)).dropDuplicates(["sid"])
+    known = agreed(labels.filter((remainder >= 0) & (remainder != held)), label)
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return fit([], [], **how)
     share = min(1.0, max_per_class / max(sizes.values()))
-    parts = [bounded(known.filter(F.col("y") == y).select("sid"), max(1, round(n * share))).withColumn("y", F.lit(y)) for y, n in sorted(sizes.items())]
+    parts = [bounded(known.filter(F.col("y") == y).select("sid"), max(1, round(n * share))).withColumn("kind", F.lit(y)) for y, n in sorted(sizes.items())]
     # at most 2 * max_per_class rows
-    chosen = F.broadcast(parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0])
-    texts = docs.select(F.col("doc_id").alias("did"), F.col("text").cast("binary").alias("body")).filter("did is not null and body is not null")
-    rows = sorted((r["sid"], bytes(r["body"]), r["y"]) for r in texts.join(chosen, F.col("did") == F.col("sid")).select("sid", "body", "y").toArrow().to_pylist())
+    found = sample_texts(docs, parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0])
+    rows = sorted(zip(*(found.column(c).to_pylist() for c in ("sid", "body", "kind")), strict=True))
     return fit([r[1] for r in rows], [r[2] for r in rows], **how)
 
 
@@ -138,4 +144,4 @@ def score(docs: DataFrame, model: SubwordModel, key: str = "doc_id", text: str =
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([one(x.as_py()) for x in batch.column(1)], pa.float64())], ["id", "score"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("body")).mapInArrow(run, "id long, score double")
+    return map_batches(docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("body")), run, "id long, score double")

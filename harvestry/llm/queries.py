@@ -43,7 +43,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), distinct=True)
-    return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"), F.sha2(F.col("__kept").cast("binary"), 256).alias("kept_sha256"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,11 +60,12 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.tokenised_pieces(_table(spark, sf_dir, "documents"), tokenizer_path()))
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(_table(spark, sf_dir, "documents"), 24).withColumn("law", F.lit("key"))
+    out = sharding.assign_shards(_table(spark, sf_dir, "documents"), 24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import xxhash
 
 WORDS = 5
 #: Distinct words that a process remembers.
-MAX_WORDS = 400_000
+MAX_WORDS = 250_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 56) - 1)
 #: The rarity of a word that the table of frequent ones doesn't have.

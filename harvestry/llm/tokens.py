@@ -1,12 +1,14 @@
 """Exact tokenisation of whole texts by a public tokenizer, with its work done once a word.
 
 The word-level vocabulary's tokenizer never joins characters across ASCII white space, so a text's
-ids are those of its space-separated words one after the other. Each distinct word goes through
-the library once a process (up to a bound) and is a table look-up after that.
+ids are those of its space-separated words one after the other. Frequent words go through the
+library once a process and are a table look-up after that. A tokenizer with another normaliser or
+pre-tokenizer encodes whole texts by the library.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 
@@ -14,10 +16,23 @@ import numpy as np
 
 from harvestry.llm.workers import kept
 
-#: Distinct words kept by a process; beyond it the table starts anew.
-MAX_WORDS = 600_000
+#: Distinct words kept by a process, some 40 MB; beyond it the table starts anew.
+MAX_WORDS = 200_000
 
 _END_MARKS = ".,!#$%&*|;:?"
+#: Beyond it letters were added to Unicode lately, and libraries may not agree on them.
+_OLD_LETTERS = "\u0530"
+
+# The normaliser and pre-tokenizer for which words may be encoded one by one.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": _SPLIT, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 def byte_letters() -> list[str]:
@@ -34,7 +49,7 @@ def byte_letters() -> list[str]:
 
 
 class WordEncoder(dict):
-    """Maps the bytes of a word to those of its ids, as little-endian unsigned 32-bit integers."""
+    """Maps the bytes of a word to those of its ids, as little-endian unsigned integers of width bytes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,43 +59,55 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
         self.letters = byte_letters()
-        self.cores: dict[str, bytes] = {}
+        about = json.loads(self.tokenizer.to_str())
+        spaced = [t for t in about["added_tokens"] if t["normalized"] or any(c.isspace() for c in t["content"])]
+        self.by_word = about["normalizer"] == _NORMALIZER and about["pre_tokenizer"] == _PRE_TOKENIZER and about["model"]["type"] == "BPE" and not spaced
+        self.marks: dict[str, bytes] = {"": b""}
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= MAX_WORDS:
             self.clear()
         text = word.decode("utf-8", "replace")
         core = text.rstrip(_END_MARKS)
-        if core != text and core.isalnum() and core.lower().isalnum():
-            # letters or digits against marks: always a border between pieces
-            out = self.core(core) + self.core(text[len(core) :])
+        low = core.lower()
+        # one run of letters in the form that the normaliser gives: only the merges are left to do,
+        # and the marks after it are a piece of their own
+        if core.isalpha() and low.isalpha() and max(core) < _OLD_LETTERS and "Σ" not in core and unicodedata.is_normalized("NFC", core):
+            piece = low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
+            out = np.array([t.id for t in self.model.tokenize(piece)], self.kind).tobytes()
+            if core != text:
+                rest = text[len(core) :]
+                if rest not in self.marks:
+                    if len(self.marks) >= 10_000:
+                        self.marks.clear()
+                    self.marks[rest] = self.by_library(rest)
+                out += self.marks[rest]
         else:
-            out = self.core(text)
+            out = self.by_library(text)
         self[word] = out
         return out
 
-    def core(self, text: str) -> bytes:
-        low = text.lower() if "Σ" not in text else text
-        out = self.cores.get(low)
-        if out is None:
-            if len(self.cores) >= MAX_WORDS:
-                self.cores.clear()
-            if text.isalpha() and low.isalpha() and low == low.lower() and unicodedata.is_normalized("NFC", text):
-                # one run of letters in the form that the normaliser gives: only the merges are left to do
-                piece = low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
-                ids = [t.id for t in self.model.tokenize(piece)]
-                out = self.cores[low] = np.array(ids, "<u4").tobytes()
-            else:
-                # not under low: its lower-case form may normalise in another way
-                out = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return out
+    def by_library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def encode(self, text: bytes | None, end: bytes = b"") -> bytes:
-        """The ids of a whole text (null: none), then end."""
+    def encode(self, text: bytes | None) -> bytes:
+        """The ids of a whole text (null: none), in width bytes each."""
         if not text:
-            return end
-        return b"".join(map(self.__getitem__, text.split())) + end
+            return b""
+        if not self.by_word:
+            return self.by_library(text.decode("utf-8", "replace"))
+        return b"".join(map(self.__getitem__, text.split()))
+
+    def wide(self, text: bytes | None, end_id: int | None = None) -> np.ndarray:
+        """The ids of a whole text (null: none), then end_id, as unsigned 32-bit integers."""
+        ids = np.frombuffer(self.encode(text), self.kind)
+        out = np.empty(len(ids) + (end_id is not None), "<u4")
+        out[: len(ids)] = ids
+        if end_id is not None:
+            out[-1] = end_id
+        return out
 
 
 def encoder(path: str) -> WordEncoder:

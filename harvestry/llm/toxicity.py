@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.llm.samples import bounded, fold
+from harvestry.llm.samples import agreed, bounded, fold, sample_texts
+from harvestry.llm.workers import map_batches
 
 #: At most so many confirmed and unlabelled documents are learned from.
 MAX_POSITIVE, MAX_UNLABELLED = 3000, 7000
@@ -97,40 +98,34 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, max_po
     """A model from rows whose fold isn't 0: confirmed toxic documents, and texts without their labels.
 
     prior is the share of toxic documents; without one, that among labelled training rows. The
-    samples are bounded; their distinct words are all that comes to the driver. Null ids, texts
-    and labels are left out; no toxic row at all gives a model that scores everything near 0.
+    samples are bounded in documents and bytes. Null ids, texts and labels, and ids with both
+    labels, are left out; no toxic row at all gives a model that scores everything near 0.
     """
-    known = labels.select(F.col("doc_id").alias("sid"), F.col("toxic").alias("y")).filter((fold(F.col("doc_id"), folds) > 0) & F.col("toxic").isNotNull())
+    known = agreed(labels.filter(fold(F.col("doc_id"), folds) > 0), "toxic")
     if prior is None:
         got = known.agg(F.avg("y")).first()[0]
         prior = min(max(got if got is not None else 0.01, 1e-4), 0.9)
-    texts = docs.select(F.col("doc_id").alias("did"), F.col("text").cast("binary").alias("body")).filter("did is not null and body is not null")
-    confirmed = bounded(known.filter("y = 1").select("sid").distinct(), max_positive).withColumn("kind", F.lit(1))
-    others = bounded(docs.select(F.col("doc_id").alias("sid")).filter(fold(F.col("doc_id"), folds) > 0), max_unlabelled).withColumn("kind", F.lit(0))
-
-    def sets(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b"\n".join(sorted(word_set(x.as_py()))) for x in batch.column(1)], pa.binary())], ["kind", "words"])
-
+    confirmed = bounded(known.filter("y = 1").select("sid"), max_positive).withColumn("kind", F.lit(1))
+    others = bounded(docs.select(F.col("doc_id").alias("sid")).filter(fold(F.col("doc_id"), folds) > 0).distinct(), max_unlabelled).withColumn("kind", F.lit(0))
     # both sides have at most max_positive + max_unlabelled rows
-    chosen = F.broadcast(confirmed.unionByName(others))
-    found = texts.join(chosen, F.col("did") == F.col("sid")).select("kind", "body").mapInArrow(sets, "kind int, words binary").toArrow()
+    found = sample_texts(docs, confirmed.unionByName(others))
+    sets: dict[int, list[bytes]] = {0: [], 1: []}
+    for kind, body in zip(found.column("kind").to_pylist(), found.column("body"), strict=True):
+        sets[kind].append(b"\n".join(sorted(word_set(body.as_py()))))
+    del found
     # one order for every run; texts that repeat each other fall together, whichever came first
-    found = found.sort_by([("kind", "descending"), ("words", "ascending")])
-    first = int(np.count_nonzero(found.column("kind").to_numpy() == 1))
-    distinct = lambda part: (x.as_py().split(b"\n") if len(x.as_py()) else () for x in part)
-    words = found.column("words")
-    return nn_pu(distinct(words[:first]), distinct(words[first:]), prior)
+    distinct = lambda part: (x.split(b"\n") if x else () for x in sorted(part))
+    return nn_pu(distinct(sets[1]), distinct(sets[0]), prior)
 
 
 def score(docs: DataFrame, model: WordModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, text length in bytes and score of every row; null and empty texts have the model's bias."""
+    """id and score of every row; null and empty texts have the model's bias. Other columns aren't read."""
 
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.score(x.as_py()) for x in batch.column(1)], pa.float64())], ["id", "score"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("body")).mapInArrow(run, "id long, score double")
+    return map_batches(docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("body")), run, "id long, score double")
 
 
 def keep_clean(docs: DataFrame, model: WordModel, threshold: float = 0.5) -> DataFrame:
@@ -142,4 +137,4 @@ def keep_clean(docs: DataFrame, model: WordModel, threshold: float = 0.5) -> Dat
             keep = [model.score(t.encode() if (t := x.as_py()) is not None else None) < threshold for x in batch.column(place)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)

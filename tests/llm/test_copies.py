@@ -164,7 +164,7 @@ def test_templates(spark, table, prose, odd):
         *odd,
     ]
     found = hits(spark, table, rows)
-    assert {i: x for i, x in found.items() if i != 17} == {10: [1], 11: [1], 13: [2], 16: [5]}
+    assert found == {10: [1], 11: [1], 13: [2], 16: [5]} | {17: found.get(17)}
     assert hits(spark, table, []) == {}
 
 

@@ -85,9 +85,9 @@ def test_line_dedup_against_brute_force(table, odd):
     rows = [*odd, *((100 + i, "\n".join(r.choice(pool) for _ in range(r.randrange(9)))) for i in range(60))]
     docs = table(rows)
     out = line_dedup.dedup_lines(docs)
-    assert out.columns[: len(docs.columns)] == docs.columns
+    assert out.select("row.*").columns == docs.columns
     key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
-    got = sorted(((x.doc_id, x["__lines"], x["__dropped"], x["__kept"]) for x in out.collect()), key=key)
+    got = sorted(((x.row.doc_id, x.n_lines, x.n_dropped, x.kept) for x in out.collect()), key=key)
     assert got == sorted(deduped(rows), key=key)
     assert line_dedup.dedup_lines(table([])).count() == 0
 

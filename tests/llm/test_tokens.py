@@ -17,9 +17,42 @@ def library(vocabulary, text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(text=st.text(st.sampled_from(list("aAeEZß Σςσ İıÅǻ̊.,!'#$|<>\n\t\x0b\xa0\x1c\x85st12²½中한가ǅ—_")), max_size=60))
+@given(text=st.text(st.sampled_from(list("aAeEZß Σςσ İıÅ\u01fb\u030a.,!'#$|<>\n\t\x0b\xa0\x1c\x85st12²½中한가ǅ—_\u0958\u0959\u095d\u092a\u093c\ufb2a\u212b\u2126\u0344\u0530\u1e9e")), max_size=60))
 def test_encoding_equals_the_library(vocabulary_path, text):
-    assert np.frombuffer(encoder(vocabulary_path).encode(text.encode()), "<u4").tolist() == library(vocabulary_path, text)
+    assert encoder(vocabulary_path).wide(text.encode()).tolist() == library(vocabulary_path, text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(text=st.text(max_size=40))
+def test_encoding_equals_the_library_on_all_of_unicode(vocabulary_path, text):
+    assert encoder(vocabulary_path).wide(text.encode()).tolist() == library(vocabulary_path, text)
+
+
+def test_letters_that_compose_or_fall_apart(vocabulary):
+    for text in ("\u0959#", "\u0958!", "\u092a\u095d.", "a\u095d?", "\ufb2a,", "e\u0301.", "\u212bx", "ΑΣ. ΑΣ"):
+        assert encoder(vocabulary).wide(text.encode()).tolist() == library(vocabulary, text)
+    for c in map(chr, range(0x21, 0x600)):
+        for text in (c, "a" + c, c + "a", "é" + c + ".", "Ab" + c + "Z!?"):
+            assert encoder(vocabulary).wide(text.encode()).tolist() == library(vocabulary, text), text
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+
+    other = encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not other.by_word
+    for text in ("two  words\n\nand more", "", "don't"):
+        assert other.wide(text.encode(), 7).tolist() == [*other.tokenizer.encode(text, add_special_tokens=False).ids, 7]
+
+
+def test_the_table_of_words_is_bounded(vocabulary, monkeypatch):
+    from harvestry.llm import tokens
+
+    monkeypatch.setattr(tokens, "MAX_WORDS", 50)
+    mine = tokens.WordEncoder(vocabulary)
+    text = " ".join(f"w{i % 170}." for i in range(900))
+    assert mine.wide(text.encode()).tolist() == library(vocabulary, text)
+    assert len(mine) <= 50
 
 
 @pytest.fixture(scope="session")
@@ -29,7 +62,7 @@ def vocabulary_path(vocabulary):
 
 def test_special_strings(vocabulary):
     for text in ("<|endoftext|>", "a <|startoftext|>b<|endoftext|>. c", "don't 'tis they're", "İ. Σ, ΟΔΟΣ."):
-        assert np.frombuffer(encoder(vocabulary).encode(text.encode()), "<u4").tolist() == library(vocabulary, text)
+        assert encoder(vocabulary).wide(text.encode()).tolist() == library(vocabulary, text)
 
 
 @settings(max_examples=200, deadline=None)
@@ -37,10 +70,11 @@ def test_special_strings(vocabulary):
 def test_elias_fano(steps):
     values = np.cumsum([0, *steps])
     coded = EliasFano.build(values)
-    assert coded.all().tolist() == values.tolist()
+    assert coded.run(0, len(values)).tolist() == values.tolist()
     again = EliasFano.of(coded.n, coded.low_bits, coded.parts())
     for i in range(0, len(values), 37):
         assert again.get(i) == values[i]
+        assert again.run(i, min(i + 300, len(values))).tolist() == values[i : i + 300].tolist()
     bits = 8 * (coded.low.nbytes + coded.high.nbytes)
     assert bits <= len(values) * (3 + np.log2(values[-1] / len(values) + 1)) + 64
 
@@ -49,7 +83,7 @@ def test_elias_fano_refuses():
     for bad in ([3, 2], [-1, 2]):
         with pytest.raises(ValueError):
             EliasFano.build(np.array(bad))
-    assert EliasFano.build(np.array([], int)).all().tolist() == []
+    assert EliasFano.build(np.array([], int)).run(0, 0).tolist() == []
     with pytest.raises(IndexError):
         EliasFano.build(np.array([1])).get(1)
 
@@ -70,6 +104,30 @@ def test_corpus_round_trip(spark, table, odd, vocabulary):
     assert token_files.read_corpus(spark, []).count() == 0
 
 
+def test_files_are_sized_by_the_data(spark, table, vocabulary):
+    docs = table([(i, f"text {i} " * (i % 9)) for i in range(200)])
+    assert token_files.file_count(docs) == 1
+    assert token_files.file_count(docs, file_docs=30) == 7
+    size = sum(len(f"text {i} " * (i % 9)) for i in range(200))
+    assert token_files.file_count(docs, file_bytes=size // 5) in (5, 6)
+    assert token_files.file_count(docs, small_bytes=1) == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_reading_unpacks_a_block_of_boundaries_at_a_time(tmp_path, monkeypatch):
+    lengths = [random.Random(3).randrange(6) for _ in range(20_000)] + [5000, 0, 0]
+    docs = [(i if i % 7 else None, np.arange(n, dtype="<u4")) for i, n in enumerate(lengths)]
+    uri = str(tmp_path / "shard")
+    token_files.write_shard(uri, iter(docs), 2)
+    shard, seen, run = token_files.Shard(uri), [], EliasFano.run
+    monkeypatch.setattr(EliasFano, "run", lambda self, i, j: seen.append(j - i) or run(self, i, j))
+    monkeypatch.setattr(token_files, "SLICE", 3000)
+    blocks = list(shard.blocks())
+    assert max(seen) <= token_files.BLOCK + 1
+    assert all(b[-1] - b[0] <= 3000 or len(b) == 2 for _, b in blocks)
+    assert [int(x) for _, b in blocks for x in np.diff(b)] == lengths
+    assert [bool(x) for i, b in blocks for x in shard.null(i, i + len(b) - 1)] == [d[0] is None for d in docs]
+
+
 def test_pieces(table, odd, vocabulary):
     rows = packing.tokenised_pieces(table(odd), vocabulary, capacity=100, with_ids=True).collect()
     by = {}
@@ -100,13 +158,39 @@ def test_packing_in_rounds(spark):
     r = random.Random(2)
     pieces = [(i, 0, 0, min(100, int(r.expovariate(1 / 30)) + 1), 7) for i in range(3000)]
     df = spark.createDataFrame(pieces, packing.PIECES).repartition(6)
-    got = packing.pack(df, capacity=100, fan_in=2, min_items=300).collect()
+    got = packing.pack(df, capacity=100, most_items=150).collect()
     n = check_packed(pieces, got, 100)
     whole = len(packing.best_fit([p[3] for p in pieces], 100))
     least = -(-sum(p[3] for p in pieces) // 100)
     assert least <= n <= whole * 1.03
 
 
+def test_packing_stays_bounded_where_nothing_fits(spark, monkeypatch):
+    # every piece is just over half of the capacity, so no two ever share a bin
+    pieces = [(i, 0, 0, 51 + i % 3, 7) for i in range(2000)]
+    df = spark.createDataFrame(pieces, packing.PIECES).repartition(3)
+    fit = packing.best_fit
+    got = packing.pack(df, capacity=100, most_items=100).collect()
+    assert check_packed(pieces, got, 100) == 2000
+    # in one process: never more than the bound at a time, whatever the partition holds
+    seen = []
+    monkeypatch.setattr(packing, "best_fit", lambda lengths, c: seen.append(len(lengths)) or fit(lengths, c))
+    monkeypatch.setattr("pyspark.TaskContext.get", staticmethod(lambda: type("T", (), {"partitionId": lambda self: 0})()))
+    import pyarrow as pa
+
+    columns = [pa.array(c, k) for c, k in zip(zip(*pieces, strict=True), packing._KINDS, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, packing._NAMES)
+    bins = list(packing._round(0, 100, 99.5, 100, 10**6)(packing._items([batch])))
+    assert sum(b.num_rows for b in bins) == 2000 and max(seen) <= 100
+
+
+def test_packing_documents_equals_packing_their_pieces(table, odd, vocabulary):
+    keys = lambda rows: sorted((r.doc_id or -1, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    docs = table(odd)
+    whole = packing.pack_documents(docs, vocabulary, capacity=500).collect()
+    assert keys(whole) == keys(packing.pack(packing.tokenised_pieces(docs, vocabulary, capacity=500), capacity=500).collect())
+
+
 def test_packing_edges(spark):
     for pieces in ([], [(1, 0, 0, 5, 0)], [(None, 0, 0, 10, 0)] * 7, [(1, 0, 0, 6, 0)] * 3):
         df = spark.createDataFrame(pieces, packing.PIECES)
