@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import mmap
 import os
 import tempfile
 import uuid
@@ -59,7 +60,8 @@ def mapped(uri: str) -> np.ndarray:
     """
     path = local_path(uri)
     if path:
-        return np.memmap(path, np.uint8, "r") if os.path.getsize(path) else np.empty(0, np.uint8)
+        with open(path, "rb") as source:
+            return _map(source) if os.path.getsize(path) else np.empty(0, np.uint8)
     from pyarrow import fs
 
     store, where = fs.FileSystem.from_uri(uri)
@@ -69,4 +71,9 @@ def mapped(uri: str) -> np.ndarray:
             copy.write(block)
             size += len(block)
         copy.flush()
-        return np.memmap(copy, np.uint8, "r") if size else np.empty(0, np.uint8)
+        return _map(copy) if size else np.empty(0, np.uint8)
+
+
+def _map(file) -> np.ndarray:
+    # without a handle of its own, so that a process may map as many files as it needs
+    return np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), np.uint8)

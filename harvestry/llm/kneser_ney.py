@@ -1,9 +1,10 @@
-"""Interpolated modified Kneser-Ney bigram model: counted in Spark, kept as sorted arrays in files
-of the shared folder, memory-mapped by the workers that score.
+"""Interpolated modified Kneser-Ney model of two or three words: counted in Spark, kept as sorted
+arrays in files of the shared folder, memory-mapped by the workers that score.
 
-Words are numbered by the rank of their 64-bit hash; a bigram is the pair of numbers in one 64-bit
-integer, multiplied by an odd constant so that equal ranges of the products hold equal shares of
-the bigrams, whatever words are frequent. No step holds more than a range of words or bigrams.
+Words are numbered by the rank of their 64-bit hash. A pair of words is their two numbers in one
+64-bit integer, multiplied by an odd constant so that equal ranges of the products hold equal
+shares of the pairs, whatever words are frequent. Triples lie in the range of their first two
+words, under each pair the third words in order. No step holds more than a range of anything.
 """
 
 from __future__ import annotations
@@ -19,15 +20,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.llm.files import Writer, mapped, unique
-from harvestry.llm.workers import kept
-from harvestry.scratch import materialise, new_folder
+from harvestry.llm.workers import bounded_batches, give_back, kept, map_batches
+from harvestry.scratch import drop, materialise, new_folder
 
 #: Stands for the end of a text; no word has a line feed.
 END = b"\n"
+#: Words looked at together: each by the two before it.
+ORDER = 3
 _MIX = 0x9E3779B97F4A7C15
 _BACK = pow(_MIX, -1, 1 << 64)
-#: Bytes of text handled at once by a worker, distinct words that it remembers, and bigrams it gathers before sending them on.
-SLICE_BYTES, MAX_WORDS, MAX_BIGRAMS = 4 << 20, 500_000, 3_000_000
+#: Text whose pairs one range holds, and how many times fewer ranges there are of words.
+RANGE_BYTES, WORD_RANGES = 16 << 20, 8
+#: Pairs followed by more words than this have their sums written down.
+HEAVY = 32
+#: Bytes of text handled at once by a worker, distinct words that it remembers, and tokens it gathers before sending them on.
+SLICE_BYTES, MAX_WORDS, MAX_TOKENS = 4 << 20, 250_000, 2_000_000
 
 
 def slices(batches) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
@@ -71,6 +78,21 @@ def by_range(keys: np.ndarray, columns: list[np.ndarray], bits: int) -> Iterator
         yield int(r), [c[edges[r] : edges[r + 1]] for c in (keys, *columns)]
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys as steps in the least number of bytes that holds them all: a byte for it, then its planes."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    return bytes([width]) + np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+
+
 def _narrow(counts: np.ndarray) -> np.ndarray:
     """counts in the least width that holds them."""
     top = int(counts.max()) if len(counts) else 0
@@ -96,6 +118,7 @@ def _arrays(uri: str, about: str) -> list[np.ndarray]:
     return out
 
 
+#: Files of the model that this process has mapped; a map costs addresses, neither memory nor a file handle.
 _open: dict[str, list[np.ndarray]] = {}
 
 
@@ -125,10 +148,8 @@ class Vocabulary(dict):
                 uri, about = self.files[r]
                 if uri:
                     have = _cached(uri, about)[0]
-                    place = np.searchsorted(have, part)
-                    ok = place < len(have)
-                    ok[ok] = have[place[ok]] == part[ok]
-                    found[at[ok]] = place[ok] + self.starts[r]
+                    place, ok = _found(have, part)
+                    found[at[ok]] = place + self.starts[r]
             self.update(zip(new, found.tolist(), strict=True))
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
@@ -137,14 +158,16 @@ class Vocabulary(dict):
 class Model:
     """Where the arrays are, and the few numbers that hold for the whole model."""
 
-    bits: int
+    order: int
+    bits: int  # of the ranges of products
+    word_bits: int  # of the ranges of hashes
     words: list[tuple[str, str]]  # by range of hashes: hashes, counts
     starts: list[int]  # the first word number of each range, then the number of words
     stats: list[tuple[str, str]]  # by the same ranges: c(h), N1(h), N2(h), N3+(h), N1+(.w)
-    bigrams: list[tuple[str, str]]  # by range of products: products, counts
+    pairs: list[tuple[str, str]]  # by range of products: products, counts (of order 3: of words before)
+    triples: list[tuple[str, str]]  # by range of products: products, offsets, third words, counts, and sums of heavy products
     tokens: int
-    discounts: tuple[float, float, float]
-    low_discounts: tuple[float, float, float]
+    discounts: list[tuple[float, float, float]]  # of words, pairs, triples
     low_total: int
     low_rest: float  # the unigram level's mass for the uniform one
 
@@ -155,7 +178,7 @@ class Model:
     def vocabulary(self) -> Vocabulary:
         def fresh():
             _open.clear()
-            return Vocabulary(self.words, self.starts, self.bits)
+            return Vocabulary(self.words, self.starts, self.word_bits)
 
         return kept(("words", repr(self.words[:1]) + repr(self.words[-1:])), fresh)
 
@@ -182,18 +205,65 @@ class Model:
             assert r == last or b <= len(ids)
         return out
 
-    def bigram_counts(self, products: np.ndarray) -> np.ndarray:
+    def pair_counts(self, products: np.ndarray) -> np.ndarray:
         """Counts of ascending products."""
         out = np.zeros(len(products), np.int64)
         for r, (part, at) in by_range(products, [np.arange(len(products))], self.bits):
-            if self.bigrams[r][0]:
-                keys, counts = _cached(*self.bigrams[r])
-                place = np.searchsorted(keys, part)
-                ok = place < len(keys)
-                ok[ok] = keys[place[ok]] == part[ok]
-                out[at[ok]] = counts[place[ok]]
+            if self.pairs[r][0]:
+                keys, counts = _cached(*self.pairs[r])
+                place, ok = _found(keys, part)
+                out[at[ok]] = counts[place]
         return out
 
+    def triple_counts(self, products: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """c(uvw), c(uv) and the mass left after it, for ascending products of uv (also repeated) and each one's w."""
+        count, total, left = np.zeros(len(products), np.int64), np.zeros(len(products), np.int64), np.ones(len(products))
+        for r, (part, at) in by_range(products, [np.arange(len(products))], self.bits):
+            if not self.triples[r][0]:
+                continue
+            keys, offsets, words, counts, heavy, sums, n1, n2, n3 = _cached(*self.triples[r])
+            place, ok = _found(keys, part)
+            at = at[ok]
+            if not len(at):
+                continue
+            some, which = np.unique(place, return_inverse=True)
+            first, end = offsets[some].astype(np.int64), offsets[some + 1].astype(np.int64)
+            c = np.zeros((4, len(some)), np.int64)
+            large = end - first > HEAVY
+            j = np.searchsorted(heavy, some[large])
+            for row, column in zip(c, (sums, n1, n2, n3), strict=True):
+                row[large] = column[j]
+            n = (end - first)[~large]
+            if len(n):
+                before = np.cumsum(n) - n
+                seen = counts[np.repeat(first[~large] - before, n) + np.arange(n.sum())].astype(np.int64)
+                for row, column in zip(c, (seen, seen == 1, seen == 2, seen > 2), strict=True):
+                    row[~large] = np.add.reduceat(column.astype(np.int64), before)
+            d = self.discounts[2]
+            total[at], left[at] = c[0][which], ((c[1] * d[0] + c[2] * d[1] + c[3] * d[2]) / c[0])[which]
+            # each third word by halving its pair's stretch
+            low, high, want = first[which], end[which], word[at]
+            limit = high.copy()
+            active = np.arange(len(at))
+            while len(active):
+                middle = (low[active] + high[active]) >> 1
+                less = words[middle] < want[active]
+                low[active[less]] = middle[less] + 1
+                high[active[~less]] = middle[~less]
+                active = active[low[active] < high[active]]
+            hit = low < limit
+            hit[hit] = words[low[hit]] == want[hit]
+            count[at[hit]] = counts[low[hit]]
+        return count, total, left
+
+
+def _found(keys: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in ascending keys of those of part that are there, and which they are."""
+    place = np.searchsorted(keys, part)
+    ok = place < len(keys)
+    ok[ok] = keys[place[ok]] == part[ok]
+    return place[ok], ok
+
 
 def products(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return ((before.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)) * np.uint64(_MIX)
@@ -219,17 +289,53 @@ def _discount(c: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(c, 3)]
 
 
-def train(docs: DataFrame, text: str = "text") -> Model:
+def range_bits(docs: DataFrame, text: str = "text", range_bytes: int = RANGE_BYTES) -> int:
+    """log2 of how many ranges the measured bytes of the texts ask for."""
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(0, (size - 1) // range_bytes).bit_length()
+
+
+_SENT = "r int, keys binary, counts binary, more binary"
+
+
+def _send(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), *[pa.binary()] * 3]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["r", "keys", "counts", "more"])
+
+
+def _merge(df: DataFrame, one, schema: str, label: str) -> DataFrame:
+    """The table of what one() makes of all rows of each r; what it freed goes back to the system."""
+    bounded_batches(df.sparkSession)
+
+    def whole(table: pa.Table) -> pa.Table:
+        try:
+            return one(table)
+        finally:
+            give_back()
+
+    return materialise(df.groupBy("r").applyInArrow(whole, schema), label)
+
+
+def _blobs(table: pa.Table, *names: str) -> Iterator[list[bytes]]:
+    for row in zip(*(table.column(n) for n in names), strict=True):
+        yield [x.as_py() for x in row]
+
+
+def train(docs: DataFrame, text: str = "text", order: int = ORDER, range_bytes: int = RANGE_BYTES) -> Model:
     """Count all whole texts of docs (null: empty). An empty table gives the uniform model.
 
-    The number of ranges is a power of two from spark.sql.shuffle.partitions. Counts are summed in
-    each map task first, so no frequent word or bigram is sent more than once a task.
+    Texts are headed by order - 1 starts. With order 3, counts of pairs and words are those of the
+    distinct words before them; pairs with a start count as often as they occur. The number of ranges comes
+    from the bytes of the texts. Counts are summed in each map task first, so no frequent word or
+    triple is sent more than once a task.
     """
+    if order not in (2, 3):
+        raise ValueError("order is 2 or 3")
     spark = docs.sparkSession
-    bits = max(1, (max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1) - 1).bit_length())
-    folder = new_folder(spark, "language-model")
     bodies = docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
-    n_ranges = 1 << bits
+    bits = range_bits(bodies, "body", range_bytes)
+    word_bits = max(0, bits - (WORD_RANGES - 1).bit_length())
+    folder = new_folder(spark, "language-model")
 
     def count_words(batches):
         seen: Counter = Counter()
@@ -238,9 +344,8 @@ def train(docs: DataFrame, text: str = "text") -> Model:
             words = list(seen)
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
             keys, counts = summed(hashes, np.fromiter(seen.values(), np.int64, len(words)))
-            rows = [(r, k.tobytes(), c.astype("<u4").tobytes()) for r, (k, c) in by_range(keys, [counts], bits)]
             seen.clear()
-            return _batch(rows, ["r", "keys", "counts"])
+            return _send([(r, packed_keys(k), _varied(c), None) for r, (k, c) in by_range(keys, [counts], word_bits)])
 
         for _, words in slices(batches):
             for ws in words:
@@ -254,88 +359,161 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     def merge_words(table: pa.Table) -> pa.Table:
         keys, counts = _merged(table)
         uri, about = _write(folder, "words", [keys, _narrow(counts)])
-        return pa.table({"r": pa.array([table.column("r")[0].as_py()], pa.int32()), "uri": [uri], "about": [about], "n": [len(keys)], "total": pa.array([int(counts.sum())], pa.int64())})
-
-    sent = "r int, keys binary, counts binary"
-    made = materialise(bodies.mapInArrow(count_words, sent).groupBy("r").applyInArrow(merge_words, "r int, uri string, about string, n long, total long"), "words")
-    got = {row["r"]: row for row in made.collect()}  # one row a range
-    words = [(got[r]["uri"], got[r]["about"]) if r in got else ("", "") for r in range(n_ranges)]
-    starts = np.concatenate([[0], np.cumsum([got[r]["n"] if r in got else 0 for r in range(n_ranges)])]).tolist()
-    tokens = sum(row["total"] for row in got.values())
-    size = starts[-1]
+        return pa.table({"r": table.column("r")[:1], "uri": [uri], "about": [about], "n": [len(keys)], "total": pa.array([int(counts.sum())], pa.int64())})
+
+    made = _merge(map_batches(bodies, count_words, _SENT), merge_words, "r int, uri string, about string, n long, total long", "words")
+    got = {row["r"]: row for row in made.collect()}  # a row a range
+    drop(made)
+    words = _addresses(got, word_bits)
+    starts = np.concatenate([[0], np.cumsum([got[r]["n"] if r in got else 0 for r in range(1 << word_bits)])]).tolist()
+    tokens, size = sum(row["total"] for row in got.values()), starts[-1]
     if size >= (1 << 32) - 1:
         raise ValueError("more distinct words than 32 bits can number")
 
-    def count_bigrams(batches):
-        vocabulary = Vocabulary(words, starts, bits)
-        parts: list = []
-
-        def out():
-            keys, counts = summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-            parts.clear()
-            return _batch([(r, k.tobytes(), _varied(c)) for r, (k, c) in by_range(keys, [counts], bits)], ["r", "keys", "counts"])
-
+    def numbered(batches):
+        """Arrays of word numbers and of their texts' lengths, MAX_TOKENS or so at a time."""
+        vocabulary = kept(("numbers", folder), lambda: Vocabulary(words, starts, word_bits))
+        ids, lengths, n = [], [], 0
         for _, ws in slices(batches):
-            ids = vocabulary.numbers(flat_tokens(ws))
-            before = contexts(ids, np.array([len(w) + 1 for w in ws]), size)
-            parts.append(np.unique(products(before, ids), return_counts=True))
-            if sum(len(p[0]) for p in parts) > MAX_BIGRAMS:
-                yield out()
-        if parts:
-            yield out()
-
-    def merge_bigrams(table: pa.Table) -> pa.Table:
+            ids.append(vocabulary.numbers(flat_tokens(ws)))
+            lengths.append(np.array([len(w) + 1 for w in ws]))
+            n += len(ids[-1])
+            if n > MAX_TOKENS:
+                yield np.concatenate(ids), np.concatenate(lengths)
+                ids, lengths, n = [], [], 0
+        if ids:
+            yield np.concatenate(ids), np.concatenate(lengths)
+
+    def count_pairs(batches):
+        for ids, lengths in numbered(batches):
+            keys, counts = np.unique(products(contexts(ids, lengths, size), ids), return_counts=True)
+            yield _send([(r, packed_keys(k), _varied(c), None) for r, (k, c) in by_range(keys, [counts], bits)])
+
+    def count_triples(batches):
+        for ids, lengths in numbered(batches):
+            before = contexts(ids, lengths, size)
+            keys, third, counts = _triples(products(contexts(before, lengths, size), before), ids.astype(np.uint32), np.ones(len(ids), np.int64))
+            yield _send([(r, packed_keys(np.unique(k)), _varied(c), _fans(k) + w.tobytes()) for r, (k, w, c) in by_range(keys, [third, counts], bits)])
+
+    def merge_triples(table: pa.Table) -> pa.Table:
+        parts: list[list[np.ndarray]] = [[], [], []]
+        for keys, counts, more in _blobs(table, "keys", "counts", "more"):
+            keys = unpacked_keys(keys)
+            fans, at = _counted(more, len(keys))
+            for part, x in zip(parts, (np.repeat(keys, fans), np.frombuffer(more, "<u4", offset=at), _plain(counts)), strict=True):
+                part.append(x)
+        keys, third, counts = _triples(*map(np.concatenate, parts))
+        parts.clear()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        n = np.diff(np.append(first, len(keys)))
+        heavy = np.flatnonzero(n > HEAVY)
+        sums = [np.add.reduceat(x.astype(np.int64), first)[heavy] for x in (counts, counts == 1, counts == 2, counts > 2)]
+        uri, about = _write(folder, "triples", [keys[first], np.append(first, len(keys)).astype("<u4"), third, _narrow(counts), heavy.astype("<u4"), *map(_narrow, sums)])
+        return pa.table({"r": table.column("r")[:1], "uri": [uri], "about": [about], **{f"n{k}": pa.array([int((counts == k).sum())], pa.int64()) for k in (1, 2, 3, 4)}})
+
+    def pairs_of_triples(batches):
+        """(v, w) of the triples of each file: how many words stand before, or how often it heads a text."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, offsets, third, counts, *_ = _arrays(row["uri"], row["about"])
+                back = keys * np.uint64(_BACK)
+                second = np.repeat((back & np.uint64(0xFFFFFFFF)).astype(np.int64), np.diff(offsets.astype(np.int64)))
+                found, n = summed(products(second, third), np.where(second == size, counts.astype(np.int64), 1))
+                for rows in _chunked([(r, packed_keys(k), _varied(c), None) for r, (k, c) in by_range(found, [n], bits)]):
+                    yield _send(rows)
+
+    headed = "r int, uri string, about string, n1 long, n2 long, n3 long, n4 long"
+    add = lambda rows, k: sum(row[k] for row in rows.values())
+    kinds = lambda rows: discounts([add(rows, f"n{k}") for k in (1, 2, 3, 4)])
+    triples, top = _addresses({}, bits), (0.0, 0.0, 0.0)
+    if order == 3:
+        made = _merge(map_batches(bodies, count_triples, _SENT), merge_triples, headed, "triples")
+        heads = {row["r"]: row for row in made.collect()}  # a row a range
+        triples, top = _addresses(heads, bits), kinds(heads)
+        files = spark.createDataFrame([(r, *a) for r, a in enumerate(triples) if a[0]], "r int, uri string, about string")
+        counted = map_batches(files.repartitionByRange(max(1, len(heads)), "r"), pairs_of_triples, _SENT)
+        drop(made)
+    else:
+        counted = map_batches(bodies, count_pairs, _SENT)
+
+    def merge_pairs(table: pa.Table) -> pa.Table:
         r = table.column("r")[0].as_py()
-        keys, counts = _merged(table, varied=True)
-        uri, about = _write(folder, "bigrams", [keys, _narrow(counts)])
-        pairs = keys * np.uint64(_BACK)
-        before, word = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        kind = np.minimum(counts, 3)
-        columns = [before, counts, kind == 1, kind == 2, kind == 3]
+        keys, counts = _merged(table)
+        uri, about = _write(folder, "pairs", [keys, _narrow(counts)])
+        both = keys * np.uint64(_BACK)
+        before, word = (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        del both, keys
         ids, at = np.unique(before, return_inverse=True)
-        sums = [np.bincount(at, c, len(ids)).astype(np.int64) for c in columns[1:]]
+        sums = [np.bincount(at, c, len(ids)).astype(np.int64) for c in (counts, counts == 1, counts == 2, counts > 2)]
         ends, fans = np.unique(word, return_counts=True)
-        # the ranges of words that these numbers are in
-        rows = [(r, -1, uri, about, *[int((counts == k).sum()) for k in (1, 2, 3, 4)], *[b""] * 7)]
+        rows = [(r, -1, uri, about, *[int((counts == k).sum()) for k in (1, 2, 3, 4)], *[None] * 7)]
+        # what the ranges of words need to know of these
         a, b = np.searchsorted(ids, starts), np.searchsorted(ends, starts)
         a[-1], b[-1] = len(ids), len(ends)  # the start's number stands after the last word's
-        for v in range(n_ranges):
+        for v in range(1 << word_bits):
             if a[v] < a[v + 1] or b[v] < b[v + 1]:
-                mine = slice(a[v], a[v + 1])
-                blobs = [(ids[mine] - starts[v]).astype("<u4").tobytes(), sums[0][mine].astype("<u8").tobytes(), *[s[mine].astype("<u4").tobytes() for s in sums[1:]]]
-                blobs += [(ends[b[v] : b[v + 1]] - starts[v]).astype("<u4").tobytes(), fans[b[v] : b[v + 1]].astype("<u4").tobytes()]
-                rows.append((r, v, "", "", 0, 0, 0, 0, *blobs))
+                mine, its = slice(a[v], a[v + 1]), slice(b[v], b[v + 1])
+                numbers = [packed_keys((x - starts[v]).astype(np.uint64)) for x in (ids[mine], ends[its])]
+                rows.append((r, v, "", "", 0, 0, 0, 0, numbers[0], *[_varied(s[mine]) for s in sums], numbers[1], _varied(fans[its])))
         names = ["r", "v", "uri", "about", "n1", "n2", "n3", "n4", "h", "c", "k1", "k2", "k3", "w", "f"]
-        kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), *[pa.int64()] * 4, *[pa.binary()] * 7]
-        return pa.table([pa.array(col, k) for col, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        types = [pa.int32(), pa.int32(), pa.string(), pa.string(), *[pa.int64()] * 4, *[pa.binary()] * 7]
+        return pa.table([pa.array(col, k) for col, k in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    merged = "r int, v int, uri string, about string, n1 long, n2 long, n3 long, n4 long, h binary, c binary, k1 binary, k2 binary, k3 binary, w binary, f binary"
-    pairs = materialise(bodies.mapInArrow(count_bigrams, sent).groupBy("r").applyInArrow(merge_bigrams, merged), "bigrams")
-    heads = {row["r"]: row for row in pairs.filter("v = -1").select("r", "uri", "about", "n1", "n2", "n3", "n4").collect()}
-    bigrams = [(heads[r]["uri"], heads[r]["about"]) if r in heads else ("", "") for r in range(n_ranges)]
+    merged = headed.replace("r int", "r int, v int") + ", h binary, c binary, k1 binary, k2 binary, k3 binary, w binary, f binary"
+    made = _merge(counted, merge_pairs, merged, "pairs")
+    heads = {row["r"]: row for row in made.filter("v = -1").select("r", "uri", "about", "n1", "n2", "n3", "n4").collect()}
 
     def merge_stats(table: pa.Table) -> pa.Table:
-        v = table.column("v")[0].as_py()
-        n = starts[v + 1] - starts[v] + (v == n_ranges - 1)
+        v = table.column("r")[0].as_py()
+        n = starts[v + 1] - starts[v] + (v + 1 == len(words))
         out = [np.zeros(n, np.int64) for _ in range(5)]
-        for row in table.to_pylist():
-            h, w = np.frombuffer(row["h"], "<u4"), np.frombuffer(row["w"], "<u4")
-            for column, name, kind in zip(out, ("c", "k1", "k2", "k3"), ("<u8", *["<u4"] * 3), strict=False):
-                column[h] += np.frombuffer(row[name], kind).astype(np.int64)
-            out[4][w] += np.frombuffer(row["f"], "<u4")
+        for h, *sums, w, f in _blobs(table, "h", "c", "k1", "k2", "k3", "w", "f"):
+            h, w = unpacked_keys(h).astype(np.int64), unpacked_keys(w).astype(np.int64)
+            for column, x in zip(out, sums, strict=False):
+                column[h] += _plain(x)
+            out[4][w] += _plain(f)
         uri, about = _write(folder, "stats", [_narrow(a) for a in out])
-        kinds = [int((out[4] == k).sum()) for k in (1, 2, 3, 4)]
-        values = {"v": v, "uri": uri, "about": about, "n1": kinds[0], "n2": kinds[1], "n3": kinds[2], "n4": kinds[3], "more": int((out[4] > 2).sum()), "total": int(out[4].sum())}
-        return pa.table({k: pa.array([x], pa.int32() if k == "v" else None) for k, x in values.items()})
-
-    schema = "v int, uri string, about string, n1 long, n2 long, n3 long, n4 long, more long, total long"
-    lows = {row["v"]: row for row in materialise(pairs.filter("v >= 0").groupBy("v").applyInArrow(merge_stats, schema), "stats").collect()}
-    stats = [(lows[v]["uri"], lows[v]["about"]) if v in lows else ("", "") for v in range(n_ranges)]
-    add = lambda rows, k: sum(row[k] for row in rows.values())
-    low = discounts([add(lows, f"n{k}") for k in (1, 2, 3, 4)])
-    total = add(lows, "total")
+        low = out[4]
+        values = {**{f"n{k}": int((low == k).sum()) for k in (1, 2, 3, 4)}, "more": int((low > 2).sum()), "total": int(low.sum())}
+        return pa.table({"r": table.column("r")[:1], "uri": [uri], "about": [about], **{k: pa.array([x], pa.int64()) for k, x in values.items()}})
+
+    parts = made.filter("v >= 0").select(F.col("v").alias("r"), "h", "c", "k1", "k2", "k3", "w", "f")
+    told = _merge(parts, merge_stats, headed + ", more long, total long", "stats")
+    lows = {row["r"]: row for row in told.collect()}
+    drop(made, told)
+    low, total = kinds(lows), add(lows, "total")
     rest = (low[0] * add(lows, "n1") + low[1] * add(lows, "n2") + low[2] * add(lows, "more")) / total if total else 1.0
-    return Model(bits, words, starts, stats, bigrams, tokens, discounts([add(heads, f"n{k}") for k in (1, 2, 3, 4)]), low, total, rest)
+    return Model(order, bits, word_bits, words, starts, _addresses(lows, word_bits), _addresses(heads, bits), triples, tokens, [low, kinds(heads), top], total, rest)
+
+
+def _addresses(rows: dict, bits: int) -> list[tuple[str, str]]:
+    return [(rows[r]["uri"], rows[r]["about"]) if r in rows else ("", "") for r in range(1 << bits)]
+
+
+def _chunked(rows: list[tuple], most: int = 64) -> Iterator[list[tuple]]:
+    for at in range(0, len(rows), most):
+        yield rows[at : at + most]
+
+
+def _triples(keys: np.ndarray, third: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, third word) in ascending order with their counts' sums."""
+    order = np.lexsort((third, keys))
+    keys, third, counts = keys[order], third[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (third[1:] != third[:-1])]))
+    return keys[first], third[first], np.add.reduceat(counts, first)
+
+
+def _fans(keys: np.ndarray) -> bytes:
+    """How often each of ascending keys repeats: how many bytes each number has, and the numbers, to a multiple of four bytes."""
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    data = _varied(np.diff(np.append(first, len(keys))))
+    return data + b"\0" * (-len(data) % 4)
+
+
+def _counted(data: bytes, n: int) -> tuple[np.ndarray, int]:
+    """The first n numbers of _fans(), and where what follows starts."""
+    size = 1 + n * data[0]
+    return np.frombuffer(data, f"<u{data[0]}", n, 1).astype(np.int64), size + -size % 4
 
 
 def _varied(counts: np.ndarray) -> bytes:
@@ -344,41 +522,43 @@ def _varied(counts: np.ndarray) -> bytes:
     return bytes([slim.itemsize]) + slim.tobytes()
 
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int32(), *[pa.binary()] * (len(names) - 1)]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+def _plain(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
-def _merged(table: pa.Table, varied: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = [], []
-    for k, c in zip(table.column("keys"), table.column("counts"), strict=True):
-        c = c.as_py()
-        keys.append(np.frombuffer(k.as_py(), "<u8"))
-        counts.append((np.frombuffer(c[1:], f"<u{c[0]}") if varied else np.frombuffer(c, "<u4")).astype(np.int64))
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = zip(*((unpacked_keys(k), _plain(c)) for k, c in _blobs(table, "keys", "counts")), strict=True)
     return summed(np.concatenate(keys), np.concatenate(counts))
 
 
-def log10_probabilities(model: Model, ids: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of the model's probability of each word number after another, and the words' counts."""
-    out, counts = np.empty(len(ids)), np.zeros(len(ids), np.int64)
+def log10_probabilities(model: Model, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of the model's probability of each word number after those before it in its text, and the words' counts."""
+    before = contexts(ids, lengths, model.size)
     some, at = np.unique(np.concatenate([ids, before]), return_inverse=True)
     own = model.word_stats(some)
     own[:, some < 0] = 0
     own[0, some == model.size] = 0
     word, head = at[: len(ids)], at[len(ids) :]
-    counts = own[0][word]
     low = np.full(len(some), model.low_rest / (model.size + 1))
     if model.low_total:
-        low += np.maximum(own[5] - _discount(own[5], model.low_discounts), 0) / model.low_total
-    context = own[1]
-    spread = np.divide(own[2] * model.discounts[0] + own[3] * model.discounts[1] + own[4] * model.discounts[2], context, out=np.ones(len(some)), where=context > 0)
+        low += np.maximum(own[5] - _discount(own[5], model.discounts[0]), 0) / model.low_total
+    context, d = own[1], model.discounts[1]
+    left = np.divide(own[2] * d[0] + own[3] * d[1] + own[4] * d[2], context, out=np.ones(len(some)), where=context > 0)
     both = (ids >= 0) & (before >= 0)
     keys, where = np.unique(products(before[both], ids[both]), return_inverse=True)
     c = np.zeros(len(ids), np.int64)
-    c[both] = model.bigram_counts(keys)[where]
-    high = np.divide(np.maximum(c - _discount(c, model.discounts), 0), context[head], out=np.zeros(len(ids)), where=c > 0)
-    out = np.log10(high + spread[head] * low[word])
-    return out, counts
+    c[both] = model.pair_counts(keys)[where]
+    out = np.divide(np.maximum(c - _discount(c, d), 0), context[head], out=np.zeros(len(ids)), where=c > 0) + left[head] * low[word]
+    if model.order == 3:
+        first = contexts(before, lengths, model.size)
+        known = np.flatnonzero((before >= 0) & (first >= 0))
+        keys = products(first[known], before[known])
+        order = np.argsort(keys, kind="stable")
+        known = known[order]
+        # an unknown word has a number that no third word has
+        c, total, left = model.triple_counts(keys[order], np.where(ids[known] >= 0, ids[known], (1 << 32) - 1).astype(np.uint32))
+        out[known] = np.divide(np.maximum(c - _discount(c, model.discounts[2]), 0), total, out=np.zeros(len(known)), where=c > 0) + left * out[known]
+    return np.log10(out), own[0][word]
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -393,7 +573,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         for part, ws in slices(batches):
             lengths = np.array([len(w) + 1 for w in ws])
             ids = vocabulary.numbers(flat_tokens(ws))
-            logs, counts = log10_probabilities(model, ids, contexts(ids, lengths, model.size))
+            logs, counts = log10_probabilities(model, ids, lengths)
             at = np.cumsum(lengths) - lengths
             base = np.add.reduceat(np.log10(counts + 0.1) - floor, at)
             known = np.add.reduceat((counts > 0).astype(np.int64), at)
@@ -401,6 +581,5 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 [part.column(0), pa.array(lengths), pa.array(known), pa.array(base), pa.array(np.add.reduceat(logs, at))], ["id", "n_tokens", "n_known", "base_score", "score"]
             )
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body")).mapInArrow(
-        run, "id long, n_tokens long, n_known long, base_score double, score double"
-    )
+    bodies = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
+    return map_batches(bodies, run, "id long, n_tokens long, n_known long, base_score double, score double")

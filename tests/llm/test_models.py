@@ -96,48 +96,70 @@ def test_quality_held_out(spark, table, labelled, odd):
     assert quality_model.score(table([]), model).count() == 0
 
 
-def brute_model(texts):
-    """Interpolated modified Kneser-Ney bigrams by dictionaries."""
+def brute_model(texts, order):
+    """Interpolated modified Kneser-Ney of two or three words by dictionaries: word counts, and p(u, v, w)."""
     tokens = [[*t.lower().split(), b"\n"] for t in texts]
     uni = Counter(w for ts in tokens for w in ts)
-    big = Counter(p for ts in tokens for p in zip([None, *ts], ts, strict=False))
-    fans, heads = Counter(w for _, w in big), defaultdict(list)
-    for (h, _), c in big.items():
-        heads[h].append(c)
-    ds = [kneser_ney.discounts([sum(c == k for c in x.values()) for k in (1, 2, 3, 4)]) for x in (big, fans)]
+    tri = Counter(x for ts in tokens for x in zip([None, None, *ts], [None, *ts], ts, strict=False))
+    if order == 2:
+        two = Counter(p for ts in tokens for p in zip([None, *ts], ts, strict=False))
+    else:
+        two = Counter((v, w) for _, v, w in tri)
+        two.update({(v, w): c - 1 for (_, v, w), c in tri.items() if v is None})  # as often as they occur
+    one = Counter(w for _, w in two)
+    ds = [kneser_ney.discounts([sum(c == k for c in x.values()) for k in (1, 2, 3, 4)]) for x in (one, two, tri)]
     cut = lambda c, d: (0, *d)[min(c, 3)]
-    total, v = sum(fans.values()), len(uni)
-    rest = sum(cut(c, ds[1]) for c in fans.values()) / total
-
-    def p(h, w):
-        low = max(fans[w] - cut(fans[w], ds[1]), 0) / total + rest / (v + 1)
-        if h not in heads:
-            return low
-        n = sum(heads[h])
-        return max(big[(h, w)] - cut(big[(h, w)], ds[0]), 0) / n + sum(cut(c, ds[0]) for c in heads[h]) / n * low
+    after = [defaultdict(list), defaultdict(list)]
+    for (v, _), c in two.items():
+        after[0][v].append(c)
+    for (u, v, _), c in tri.items():
+        after[1][u, v].append(c)
+    total, size = sum(one.values()), len(uni)
+    rest = sum(cut(c, ds[0]) for c in one.values()) / total
+
+    def step(count, seen, d, low):
+        return max(count - cut(count, d), 0) / sum(seen) + sum(cut(c, d) for c in seen) / sum(seen) * low if seen else low
+
+    def p(u, v, w):
+        low = max(one[w] - cut(one[w], ds[0]), 0) / total + rest / (size + 1)
+        low = step(two[v, w], after[0].get(v), ds[1], low)
+        return step(tri[u, v, w], after[1].get((u, v)), ds[2], low) if order == 3 else low
 
     return uni, p
 
 
-def test_language_model_against_dictionaries(spark, table, prose, odd):
-    rows = [(i, prose(i, 60).replace("sun", "Sun").replace("moss", "É")) for i in range(60)] + odd
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_against_dictionaries(spark, table, prose, odd, order, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "HEAVY", 4)  # both ways of summing
+    rows = [(i, prose(i, 60).replace("sun", "Sun").replace("moss", "É")) for i in range(60)] + odd + [(900, prose(3, 60)[:200]), (901, "a a a a a a a b a a a")]
     train = [(i, t) for n, (i, t) in enumerate(rows) if n % 4]
-    model = kneser_ney.train(table(train))
-    uni, p = brute_model([(t or "").encode() for _, t in train])
-    n, v = sum(uni.values()), len(uni)
-    assert (model.tokens, model.size) == (n, v)
-    want = []
-    for i, t in rows:
-        ts = [*(t or "").encode().lower().split(), b"\n"]
-        base = sum(math.log10((uni[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ts)
-        score = sum(math.log10(p(h, w)) for h, w in zip([None, *ts], ts, strict=False))
-        want.append((i or -1, len(ts), sum(uni[w] > 0 for w in ts), base, score))
-    got = [(r.id or -1, r.n_tokens, r.n_known, r.base_score, r.score) for r in kneser_ney.score(table(rows), model).collect()]
-    for g, w in zip(sorted(got), sorted(want), strict=True):
-        assert g[:3] == w[:3] and g[3:] == pytest.approx(w[3:], rel=1e-9)
-    # over all words and an unknown one, probabilities after any word sum to 1
-    for h in (None, b"river", b"nowhere"):
-        assert sum(p(h, w) for w in uni) + p(h, b"\0new") == pytest.approx(1)
+    # ranges of many sizes, one of them holding everything
+    for range_bytes in (3000, 1 << 30):
+        model = kneser_ney.train(table(train), order=order, range_bytes=range_bytes)
+        uni, p = brute_model([(t or "").encode() for _, t in train], order)
+        n, v = sum(uni.values()), len(uni)
+        assert (model.tokens, model.size, model.order) == (n, v, order)
+        want = []
+        for i, t in rows:
+            ts = [*(t or "").encode().lower().split(), b"\n"]
+            base = sum(math.log10((uni[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ts)
+            score = sum(math.log10(p(*x)) for x in zip([None, None, *ts], [None, *ts], ts, strict=False))
+            want.append((i or -1, len(ts), sum(uni[w] > 0 for w in ts), base, score))
+        got = [(r.id or -1, r.n_tokens, r.n_known, r.base_score, r.score) for r in kneser_ney.score(table(rows), model).collect()]
+        for g, w in zip(sorted(got), sorted(want), strict=True):
+            assert g[:3] == w[:3] and g[3:] == pytest.approx(w[3:], rel=1e-9)
+    # over all words and an unknown one, probabilities after any words sum to 1
+    for u, v in ((None, None), (None, b"river"), (b"a", b"a"), (b"nowhere", b"nowhere"), (b"river", b"nowhere")):
+        assert sum(p(u, v, w) for w in uni) + p(u, v, b"\0new") == pytest.approx(1)
+
+
+def test_key_codec():
+    r = np.random.default_rng(1)
+    for n in (1, 2, 1000):
+        for top in (200, 1 << 40, (1 << 64) - 1):
+            keys = np.sort(r.integers(0, top, n, np.uint64, endpoint=True))
+            assert np.array_equal(kneser_ney.unpacked_keys(kneser_ney.packed_keys(keys)), keys)
+    assert len(kneser_ney.unpacked_keys(kneser_ney.packed_keys(np.empty(0, np.uint64)))) == 0
 
 
 def test_language_model_edges(spark, table):
@@ -146,3 +168,5 @@ def test_language_model_edges(spark, table):
     r = kneser_ney.score(table([(1, "a b"), (2, None)]), empty).orderBy("id").collect()
     assert [x.score for x in r] == [0, 0] and [x.base_score for x in r] == [0, 0] and [x.n_tokens for x in r] == [3, 1]
     assert kneser_ney.score(table([]), empty).count() == 0
+    with pytest.raises(ValueError):
+        kneser_ney.train(table([]), order=4)
