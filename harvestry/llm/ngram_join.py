@@ -2,19 +2,21 @@
 
 Sets whose similarity reaches the threshold share one of their first tokens in any order that all
 sets agree on. Documents that share such a token meet in the bucket of the least document that has the token.
-Inside a bucket, inverted lists of whole sets are searched: short ones are merged, long ones are
-probed by binary search for what the merge leaves, and overlaps decide exactly. Exact copies are
+Inside a bucket, inverted lists of whole sets are searched: short ones are merged by a heap, long ones
+are probed by binary search for what the merge leaves, and overlaps decide exactly. Exact copies are
 one set from the start.
 """
 
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestry.llm.components import components
@@ -31,6 +33,37 @@ BLOCK_DOCS, BLOCK_TOKENS = 4096, 4_000_000
 FILTER_BITS = 1 << 23
 
 
+def merge_skip(lists: list[list[int]], least: int) -> tuple[list[int], list[int]]:
+    """What at least `least` of the ascending lists hold, ascending, and how many hold it.
+
+    A heap of the lists' heads gives equal ones together. Where too few are equal, so many lists
+    leave the heap that the rest alone couldn't reach `least`, and each jumps by binary search to
+    the head that is left.
+    """
+    heap = [(x[0], k) for k, x in enumerate(lists) if x]
+    heapify(heap)
+    at, found, counts = [0] * len(lists), [], []
+    while len(heap) >= least:
+        head, out = heap[0][0], []
+        while heap and heap[0][0] == head:
+            out.append(heappop(heap)[1])
+        if len(out) >= least:
+            found.append(head)
+            counts.append(len(out))
+            goal = head + 1
+        else:
+            while len(out) < least - 1 and heap:
+                out.append(heappop(heap)[1])
+            if not heap:
+                break
+            goal = heap[0][0]
+        for k in out:
+            at[k] = bisect_left(lists[k], goal, at[k])
+            if at[k] < len(lists[k]):
+                heappush(heap, (lists[k][at[k]], k))
+    return found, counts
+
+
 def divide_skip(sets: list[np.ndarray], parts: list[int] | None = None, percent: int = 80) -> list[tuple[int, int]]:
     """Edges between positions in sets that join what is similar: a forest of the links.
 
@@ -62,17 +95,10 @@ def divide_skip(sets: list[np.ndarray], parts: list[int] | None = None, percent:
             continue
         rank = np.argsort(length, kind="stable")
         at, length = at[rank], length[rank]
-        longest = float(length[-1])
-        aside = min(t - 1, int(t / (0.01 * np.log2(longest + 1) + 1)), int((length > 64).sum()))
+        # so many long lists are probed that the few short ones are merged in little time
+        aside = min(t - 1, int(t / (0.01 * np.log2(float(length[-1]) + 1) + 1)))
         short, long = at[: len(at) - aside], at[len(at) - aside :]
-        merged = np.concatenate([owner[first[k] : ends[k]] for k in short])
-        if len(merged) * 4 > len(sets):
-            count = np.bincount(merged, minlength=len(sets))
-            found = np.flatnonzero(count >= t - aside)
-            count = count[found]
-        else:
-            found, count = np.unique(merged, return_counts=True)
-            found, count = found[count >= t - aside], count[count >= t - aside]
+        found, count = (np.array(x, np.int64) for x in merge_skip([owner[first[k] : ends[k]].tolist() for k in short], t - aside))
         fits = (root[found] != root[q]) & (100 * np.minimum(sizes[found], n) >= percent * np.maximum(sizes[found], n))
         found, count = found[fits], count[fits]
         for i, k in enumerate(long):
@@ -172,8 +198,9 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     What is dealt out by token is 1 - percent / 100 of the tokens, rarest words first, and only
     their least documents' buckets see texts again, after sizes and parity sketches have ruled out most. Shingles that a sample shows to be frequent
     come last in the order, so only documents made of little else meet on them; those are summed in
-    each task and never dealt out by token. Buckets over BLOCK_DOCS or BLOCK_TOKENS are searched in
-    pairs of blocks, each a task of bounded size.
+    each task and never dealt out by token. Buckets over BLOCK_DOCS or BLOCK_TOKENS fall into classes of
+    set sizes and these into blocks; pairs of blocks of the same class or of neighbouring ones are
+    searched, each a task of bounded size.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("body"))
@@ -238,12 +265,22 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
 
     members = cold.unionByName(map_batches(reps.filter("size(hot) > 0").select("id", "n", "hot"), hot_buckets, "id long, n long, pivot long")) if len(hot) else cold
     members = materialise(members.distinct(), "members")
-    tokens = F.ceil(F.sum("n") / BLOCK_TOKENS)
-    plan = members.groupBy(F.col("pivot").alias("p")).agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), tokens).cast("int").alias("blocks"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    # written first, so that the join reads plain exchanges, which adaptive execution can split at a hot pivot
-    plan = materialise(plan, "plan")
-    placed = members.join(plan, F.col("pivot") == F.col("p")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
+    # written first, so that the joins read plain exchanges, which adaptive execution can split at a hot pivot
+    plan = materialise(members.groupBy(F.col("pivot").alias("p")).agg(blocks.alias("pieces"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m"), "plan")
+    # a large bucket falls into classes of sizes, of which only neighbours can hold similar sets, and these into blocks
+    step = float(np.log(100 / percent * 1.01))
+    placed = members.join(plan, F.col("pivot") == F.col("p")).withColumn("class", F.when(F.col("pieces") > 1, F.floor(F.log("n") / step).cast("int")).otherwise(0)).drop("p")
+    classes = placed.filter("pieces > 1").groupBy(F.col("pivot").alias("p"), F.col("class").alias("c")).agg(blocks.alias("blocks"))
+    up = Window.partitionBy("p").orderBy("c")
+    ends = F.sum("blocks").over(up.rowsBetween(Window.unboundedPreceding, 0))
+    near = lambda other, to: F.when(other("c").over(up) == F.col("c") + to, other("blocks").over(up)).otherwise(0)
+    classes = classes.select("p", "c", "blocks", (ends - F.col("blocks")).alias("first"), near(F.lag, -1).alias("below"), near(F.lead, 1).alias("above"))
+    classes = materialise(classes.select("p", "c", "blocks", "first", (F.col("first") - F.col("below")).alias("from"), (F.col("first") + F.col("blocks") + F.col("above")).alias("to")), "classes")
+    placed = placed.join(classes, (F.col("pivot") == F.col("p")) & (F.col("class") == F.col("c")), "left")
+    number = lambda name, alone: F.coalesce(F.col(name), F.lit(alone)).cast("int")
+    placed = placed.select("pivot", "id", "n", number("from", 0).alias("from"), number("to", 1).alias("to"), (number("first", 0) + F.pmod(F.xxhash64("id"), number("blocks", 1))).cast("int").alias("block"))
+    tasks = F.transform(F.sequence(F.col("from"), F.col("to") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
     sketched = placed.join(real.select(F.col("id").alias("sid"), "sketch"), F.col("id") == F.col("sid"))
     spread = sketched.select("pivot", "block", F.explode(tasks).alias("task"), "id", "n", "sketch").select("pivot", "task.i", "task.j", "block", "id", "n", "sketch")
 

@@ -70,6 +70,16 @@ def test_join_of_nothing(table):
     assert got(ngram_join.similar_documents(table([(1, None), (2, "")]))) == [(False, 1, 0, 1), (False, 2, 0, 2)]
 
 
+def test_merge_skip_counts_lists():
+    r = random.Random(12)
+    for _ in range(400):
+        lists = [sorted(r.sample(range(30), r.randrange(12))) for _ in range(r.randrange(1, 9))]
+        for least in (1, 2, 3, len(lists)):
+            count = {x: sum(x in part for part in lists) for x in range(30)}
+            want = [(x, n) for x, n in count.items() if n >= least]
+            assert list(zip(*ngram_join.merge_skip(lists, least), strict=True)) == want
+
+
 def test_divide_skip_finds_all_links():
     r = random.Random(3)
     sets = []
