@@ -20,6 +20,16 @@ def newest(rows: DataFrame, group: list[str], date: Column, ties: list[Column],
     return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= cap)
 
 
+def of_source(catalog: DataFrame, source: str) -> DataFrame:
+    """Catalog rows of one source, in the order in which they came."""
+    return catalog.filter(F.col("source") == source).orderBy("seq")
+
+
+def of_category(catalog: DataFrame, category: str | None = None) -> DataFrame:
+    """Catalog rows of one category; without one, all."""
+    return catalog if category is None else catalog.filter(F.col("category") == category)
+
+
 def with_roster(catalog: DataFrame, sources: DataFrame) -> DataFrame:
     """Catalog rows of enabled sources, with the source's place and the category that the roster gives."""
     rows = sources.filter("enabled").select(F.col("name").alias("__s"), F.col("ord").alias("src_ord"), F.col("category").alias("feed_category"))
