@@ -6,9 +6,12 @@ import argparse
 import os
 from datetime import datetime, timezone
 
+from pyspark.sql import functions as F
+
 from harvestry.plans import build
 from harvestry.session import session
-from harvestry.sources import roster, saved_items, seeds
+from harvestry.sinks import tables
+from harvestry.sources import fetch, roster, saved_items, seeds
 from harvestry.sources.schemas import DOCUMENTS
 
 
@@ -17,9 +20,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--base-url", default=os.environ.get("BASE_URL", "http://localhost:8000"), help="where the output folder will be served")
     p.add_argument("--sources", default="sources.yaml", help="the roster")
     p.add_argument("--documents", help="Parquet of fetched documents: url, kind, body, bytes, ok")
-    p.add_argument("--saved", help="folder with the pages of a listing of saved items")
+    p.add_argument("--fetch", help="folder of documents that grows: what is asked for and not there yet is got from the web and kept")
+    p.add_argument("--saved", help="folder with the pages of a listing of saved items, and their details in details/{id}.json")
     p.add_argument("--docs", default="docs", help="output folder")
     p.add_argument("--catalog", default="state", help="folder of the catalog and the failures")
+    p.add_argument("--json", help="write the catalog as one JSON document here")
     p.add_argument("--backfill", action="store_true")
     p.add_argument("--bundles", action="store_true")
     p.add_argument("--only", action="append", default=[], help="process this source alone; may be repeated")
@@ -34,15 +39,22 @@ def main(argv: list[str] | None = None) -> dict:
     docs = spark.read.schema(DOCUMENTS).parquet(a.documents) if a.documents else spark.createDataFrame([], DOCUMENTS)
     base = os.path.dirname(os.path.abspath(a.sources))
     lists = seeds.read_seeds(spark, [(r["name"], os.path.join(base, r["seed_file"])) for r in rows if r["discovery"] == "seed_list" and r["seed_file"]])
-    saved = None
-    for r in rows:
-        if r["discovery"] == "saved_items" and a.saved:
-            from pyspark.sql import functions as F
-
-            mine = saved_items.listing(spark, a.saved, 10 * saved_items.PAGE_SIZE).select(F.lit(r["name"]).alias("source"), "ord", "i")
-            saved = mine if saved is None else saved.unionByName(mine)
-    inputs = build.Inputs(docs, lists, saved)
+    saved = details = None
+    named = [r["name"] for r in rows if r["discovery"] == "saved_items"]
+    if named and a.saved:
+        # as far as the widest window of these sources looks; the build cuts each to its own
+        widest = roster.with_limits(sources.filter(F.col("name").isin(named)), a.backfill).agg(F.max("window")).first()[0]
+        listed = saved_items.listing(spark, a.saved, widest)
+        saved = listed.select(F.explode(F.array(*map(F.lit, named))).alias("source"), "ord", "i")
+        details = saved_items.detail_files(spark, f"{a.saved}/details")
+    delay = max([r["request_delay_seconds"] for r in rows], default=2.0)
+    agent = next((r["user_agent"] for r in rows if r["user_agent"]), fetch.USER_AGENT)
+    fetcher = fetch.Fetcher(spark, a.fetch, fetch.web_client(agent), delay) if a.fetch else None
+    inputs = build.Inputs(docs, lists, saved, details, fetcher)
     out = build.run(spark, sources, inputs, a.catalog, a.docs, a.base_url, datetime.now(timezone.utc).replace(tzinfo=None), a.backfill, a.bundles, a.only)
+    if a.json:
+        state = build.Snapshots(spark, f"{a.catalog}/catalog", build.CATALOG, ("source",)), build.Snapshots(spark, f"{a.catalog}/failures", build.FAILURES)
+        tables.write_document(tables.catalog_lines(state[0].read(), state[1].read(), datetime.now(timezone.utc)), a.json)
     print(out)
     return out
 

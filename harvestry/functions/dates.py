@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
+import pyarrow as pa
+from dateutil import parser
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harvestry.functions.text import strip, text_of
 
@@ -43,6 +48,31 @@ def parse_date(c: Column) -> Column:
     return F.coalesce(iso, *[F.try_to_timestamp(bare, F.lit(f)) for f in FORMATS])
 
 
+def _free(text: str | None) -> datetime | None:
+    """The UTC time that a free-form text names, if it names a day whole: parts that are filled in from elsewhere don't count."""
+    if not text:
+        return None
+    try:
+        found = {parser.parse(text, default=datetime(year, month, day)) for year, month, day in ((2000, 1, 1), (2004, 2, 2))}
+    except (ValueError, OverflowError, TypeError):
+        return None
+    if len(found) != 1:
+        return None
+    one = found.pop()
+    return one.astimezone(timezone.utc) if one.tzinfo else one.replace(tzinfo=timezone.utc)
+
+
+@F.arrow_udf(T.TimestampType())
+def _free_dates(texts: pa.Array) -> pa.Array:
+    return pa.array([_free(t) for t in texts.to_pylist()], pa.timestamp("us", "UTC"))
+
+
+def parse_any_date(c: Column) -> Column:
+    """parse_date, and what a lenient parser makes of the texts that this leaves; only those reach Python as texts."""
+    quick = parse_date(c)
+    return F.coalesce(quick, _free_dates(F.when(quick.isNull(), strip(text_of(c)))))
+
+
 def sort_date(published: Column, discovered: Column) -> Column:
     """What feeds are ordered by."""
     return F.coalesce(published, discovered, F.lit(EPOCH).cast("timestamp"))

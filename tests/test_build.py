@@ -44,7 +44,9 @@ def run(spark, folder, now=NOW, **how):
 def test_two_runs(spark, tmp_path):
     first = run(spark, tmp_path, make_bundles=True)
     # of the three newest pages one has no record; two posts and a saved item
+    counts = first.pop("sources")
     assert first == {"added": 5, "total": 5, "bundles": {"web": 2, "posts": 2, "mine": 1}}
+    assert counts["web"] == {"discovered": 5, "new": 5, "processing": 3, "added": 2} and counts["drinks"]["discovered"] == 0 and list(counts) == ["web", "posts", "mine", "drinks"]
     from harvestry.sinks.tables import Snapshots
 
     catalog = {r.title: r for r in Snapshots(spark, f"file://{tmp_path}/state/catalog", partition_by=("source",)).read().collect()}
@@ -61,21 +63,88 @@ def test_two_runs(spark, tmp_path):
     assert (docs / "cocktails.xml").read_text().count("<item>") == 0 and not (docs / "feeds/drinks.xml").exists()
     assert "<category>Saved</category>" in (docs / "feeds/mine.xml").read_text()
     html = (docs / soup.page_url.removeprefix("https://out.org/")).read_text()
-    assert '"recipeIngredient":["beans"]' in html and "Boil \\u003cwell\\u003e" in html and "<li>Boil &lt;well&gt;</li>" in html and "By Poster" in html
+    assert '"recipeIngredient":["beans"]' in html and "Boil \\u003cwell\\u003e" in html and "<li>Boil &lt;well&gt;</li>" in html and "Author: Poster" in html
+    # the hosted image lies where the page, the feed and the catalog say
+    assert (docs / soup.local_image).read_bytes() == b"\xff\xd8\xff\x00" and soup.image_url == f"https://out.org/{soup.local_image}" and soup.image_url in html
+    assert [x.name for x in (docs / "recipes/posts/img").iterdir()] == [soup.local_image.rsplit("/", 1)[1]]
+    assert 'rel="self"' in feed and "<lastBuildDate>Mon, 05 Jan 2026 12:00:00 +0000</lastBuildDate>" in feed and "https://out.org/feed.xml" in feed
     words = (docs / catalog["Only words"].page_url.removeprefix("https://out.org/")).read_text()
     assert "ld+json" not in words
     kept = (docs / catalog["Kept"].page_url.removeprefix("https://out.org/")).read_text()
-    assert '"recipeCategory":["Saved","t"]' in kept and "recipeIngredient" not in kept and "Saved via Saved" in kept
+    assert '"recipeCategory":["Saved","t"]' in kept and "recipeIngredient" not in kept and "Kept in: Saved" in kept
     with zipfile.ZipFile(docs / "bundles/posts.zip") as z:
         assert sorted(z.namelist()) == ["bean-soup.json", "only-words.json"]
-        assert list(json.loads(z.read("bean-soup.json")))[:5] == ["id", "title", "text", "images", "categories"]
+        soup_record = json.loads(z.read("bean-soup.json"))
+        assert list(soup_record)[:5] == ["id", "title", "text", "images", "categories"] and soup_record["images"] == ["/9j/AA=="]
     index = (docs / "index.html").read_text()
     assert "The Web" in index and "awaiting first import" in index and "Off" not in index
     again = run(spark, tmp_path)  # what had no record waits; the two older pages come now
     assert again["added"] == 2 and again["total"] == 7
     assert run(spark, tmp_path)["added"] == 0
     later = run(spark, tmp_path, now=datetime(2026, 2, 1), only=["posts"])
-    assert later == {"added": 0, "total": 7, "bundles": {}}
+    assert (later["added"], later["total"], list(later["sources"])) == (0, 7, ["posts"])
+
+
+def test_what_is_missing_is_fetched_once_and_kept(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from harvestry.sources import fetch
+
+    full = inputs(spark)
+    web = {r.url: (r.body.encode() if r.body is not None else bytes(r.bytes)) for r in full.documents.collect()}
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def get(url):
+        import uuid
+
+        (log / uuid.uuid4().hex).write_text(url)
+        return web[url]
+
+    fetch_once = fetch.Fetcher(spark, f"file://{tmp_path}/cache", get, delay=0, hosts=2)
+    got = build.Inputs(spark.createDataFrame([], DOCUMENTS), full.seed_lists, full.saved, None, fetch_once)
+    sources = roster.roster_table(spark, roster.parse_roster(ROSTER))
+    go = lambda: build.run(spark, sources, got, f"file://{tmp_path}/state", str(tmp_path / "docs"), "https://out.org", NOW)
+    first = go()
+    assert first["added"] == 5 and first["sources"]["web"]["discovered"] == 5
+    asked = [p.read_text() for p in log.iterdir()]
+    # the sitemap, three pages, two images: nothing twice, and not the pages beyond the budget
+    assert sorted(asked) == sorted({"https://e.org/map.xml", *(f"https://e.org/r/{i}" for i in (3, 4, 5)), "https://i.org/a.jpg", "https://i.org/b.jpg"})
+    assert fetch_once.documents().filter(F.col("kind") == "bytes").count() == 2
+    go()
+    asked = [p.read_text() for p in log.iterdir()]
+    assert len(asked) == len(set(asked)) == 8  # two more pages
+
+
+def test_a_write_that_stops_leaves_the_old_table(spark, tmp_path):
+    import shutil
+
+    from harvestry.sinks.tables import Snapshots
+    from harvestry.sources.schemas import FAILURES
+
+    table = Snapshots(spark, f"file://{tmp_path}/t", FAILURES)
+    row = lambda k: spark.createDataFrame([(k, "s", "u", 1, NOW, NOW)], FAILURES)
+    assert table.version() == 0 and table.read().count() == 0
+    table.write(row("a"))
+    shutil.copytree(tmp_path / "t/v=1", tmp_path / "t/v=2")
+    (tmp_path / "t/v=2/_SUCCESS").unlink()  # a second write that didn't come to its end
+    assert table.version() == 1 and table.read().first().dedup_key == "a"
+    assert table.write(row("b")).first().dedup_key == "b" and table.version() == 3
+    for k in "cdef":
+        table.write(row(k))
+    assert table.read().first().dedup_key == "f" and sum(v[1] for v in table._versions()) == Snapshots.KEPT
+
+
+def test_new_rows_are_numbered_in_ranges(spark):
+    from harvestry.operators import state
+
+    rows = spark.range(5000).selectExpr("cast(id as string) dedup_key", "case when id % 10 = 0 then id div 10 end seq", "(id * 7919) % 5003 as __order").repartition(4)
+    got = state.numbered(rows, 499)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    new = sorted((r["__order"], r.dedup_key) for r in rows.filter("seq is null").collect())
+    seqs = {r.dedup_key: r.seq for r in got.collect()}
+    assert [seqs[k] for _, k in new] == list(range(500, 500 + len(new)))
 
 
 def test_emit_decision(spark):
@@ -130,11 +199,22 @@ def test_command_line(spark, tmp_path):
 
 
 def test_catalog_json_round_trip(spark, tmp_path):
-    from harvestry.sinks.tables import catalog_json, import_json
+    from harvestry.sinks.tables import import_json
     from harvestry.sources.schemas import FAILURES
 
     (tmp_path / "c.json").write_text(json.dumps({"version": 1, "recipes": {"k": {"dedup_key": "k", "source": "s", "source_url": "u", "mode": "rehost", "title": "é"}}}, ensure_ascii=False))
     got = import_json(spark, str(tmp_path / "c.json"))
     assert (got.first().title, got.first().seq, got.first().category) == ("é", 0, "recipe")
-    lines = catalog_json(got, spark.createDataFrame([], FAILURES)).collect()
-    assert json.loads(lines[0].line)["title"] == "é"
+    from harvestry.sinks.tables import catalog_lines, write_document
+
+    two = spark.createDataFrame([("x\"y", "s", "u2", 3, NOW, NOW), ("a", "s", "u", 1, NOW, NOW)], FAILURES)
+    write_document(catalog_lines(got, two, NOW), f"file://{tmp_path}/out.json")
+    write_document(catalog_lines(got, two, NOW), f"file://{tmp_path}/out.json")  # replaces the first
+    text = (tmp_path / "out.json").read_text()
+    whole = json.loads(text)
+    assert (whole["version"], whole["count"], whole["generated_at"]) == (1, 1, "2026-01-05T12:00:00") and "é" in text
+    assert whole["recipes"]["k"]["title"] == "é" and list(whole["failures"]) == ["a", 'x"y'] and whole["failures"]['x"y']["attempts"] == 3
+    again = import_json(spark, str(tmp_path / "out.json"))
+    assert again.drop("seq").collect() == got.drop("seq").collect()
+    write_document(catalog_lines(got.limit(0), two.limit(0), NOW), f"file://{tmp_path}/none.json")
+    assert json.loads((tmp_path / "none.json").read_text())["recipes"] == {}
