@@ -9,6 +9,7 @@ in ascending document id; the manifest names them in order.
 from __future__ import annotations
 
 import json
+import math
 from array import array
 from collections.abc import Iterator
 
@@ -26,8 +27,8 @@ from harvestry.scratch import materialise
 MAGIC = b"HVTOKEF1"
 MANIFEST = "shard int, path string, docs long, ids long"
 #: A file takes texts of about FILE_BYTES and about FILE_DOCS documents at most, so that a task and what it keeps of
-#: boundaries stay bounded at any size; as long as there are fewer files than tasks at once, they are smaller, to SMALL_BYTES.
-FILE_BYTES, FILE_DOCS, SMALL_BYTES = 256 << 20, 1 << 20, 4 << 20
+#: boundaries stay bounded at any size. Smaller corpora have as many files as the root of their number of UNIT_BYTES.
+FILE_BYTES, FILE_DOCS, UNIT_BYTES = 256 << 20, 1 << 20, 1 << 20
 #: Ids are read back in slices of about SLICE, boundaries in blocks of BLOCK.
 SLICE, BLOCK = 1 << 20, 16 * SAMPLE
 
@@ -89,11 +90,10 @@ def write_shard(uri: str, docs: Iterator[tuple[int | None, np.ndarray]], width:
     return len(doc_ids), ends[-1]
 
 
-def file_count(docs: DataFrame, text: str = "text", file_bytes: int = FILE_BYTES, file_docs: int = FILE_DOCS, small_bytes: int = SMALL_BYTES) -> int:
+def file_count(docs: DataFrame, text: str = "text", file_bytes: int = FILE_BYTES, file_docs: int = FILE_DOCS, unit_bytes: int = UNIT_BYTES) -> int:
     """How many files the texts' measured bytes and rows ask for."""
     size, rows = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count(F.lit(1))).first()
-    spread = min(2 * docs.sparkSession.sparkContext.defaultParallelism, size // small_bytes)
-    return max(1, spread, -(-size // file_bytes), -(-rows // file_docs))
+    return max(1, math.isqrt(size // unit_bytes), -(-size // file_bytes), -(-rows // file_docs))
 
 
 def write_corpus(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, key: str = "doc_id", text: str = "text") -> list[tuple]:

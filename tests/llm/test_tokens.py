@@ -32,7 +32,7 @@ def test_letters_that_compose_or_fall_apart(vocabulary):
     for text in ("\u0959#", "\u0958!", "\u092a\u095d.", "a\u095d?", "\ufb2a,", "e\u0301.", "\u212bx", "ΑΣ. ΑΣ"):
         assert encoder(vocabulary).wide(text.encode()).tolist() == library(vocabulary, text)
     for c in map(chr, range(0x21, 0x600)):
-        for text in (c, "a" + c, c + "a", "é" + c + ".", "Ab" + c + "Z!?"):
+        for text in (c, "a" + c, c + "a", "é" + c + ".", "Ab" + c + "Z!?", f"1{c}_{c}{c}'s {c}'T"):
             assert encoder(vocabulary).wide(text.encode()).tolist() == library(vocabulary, text), text
 
 
@@ -48,9 +48,9 @@ def test_other_tokenizers_encode_whole_texts():
 def test_the_table_of_words_is_bounded(vocabulary, monkeypatch):
     from harvestry.llm import tokens
 
-    monkeypatch.setattr(tokens, "MAX_WORDS", 50)
-    mine = tokens.WordEncoder(vocabulary)
-    text = " ".join(f"w{i % 170}." for i in range(900))
+    monkeypatch.setattr(tokens, "MAX_PIECES", 50)
+    mine = tokens.PieceEncoder(vocabulary)
+    text = " ".join("w" + "abcdefghij"[i % 10] * (i % 17) + "." for i in range(900))
     assert mine.wide(text.encode()).tolist() == library(vocabulary, text)
     assert len(mine) <= 50
 
@@ -110,7 +110,7 @@ def test_files_are_sized_by_the_data(spark, table, vocabulary):
     assert token_files.file_count(docs, file_docs=30) == 7
     size = sum(len(f"text {i} " * (i % 9)) for i in range(200))
     assert token_files.file_count(docs, file_bytes=size // 5) in (5, 6)
-    assert token_files.file_count(docs, small_bytes=1) == 2 * spark.sparkContext.defaultParallelism
+    assert token_files.file_count(docs, unit_bytes=1) == int(size**0.5)
 
 
 def test_reading_unpacks_a_block_of_boundaries_at_a_time(tmp_path, monkeypatch):
