@@ -57,11 +57,11 @@ def oracle_sql() -> dict[str, str]:
         "feed_per_source": _ranked("event_type", "ts", "event_id", 50, "events", "event_type, rank, event_id"),
         "feed_combined": _ranked("1", "o_orderdate", "o_orderpriority, o_orderkey", 100, "orders", "rank, o_orderkey"),
         "feed_per_category": _ranked("o_orderpriority", "o_orderdate", "o_orderkey", 100, "orders", "o_orderpriority, rank, o_orderkey"),
-        "feed_date_fallback": "SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate END, ts, TIMESTAMP '2001-01-01') AS sort_date FROM orders LEFT JOIN events ON o_orderkey = event_id",
+        "feed_date_fallback": "SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate END, ts, TIMESTAMP '2001-01-01') AS sort_date FROM orders LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS ts FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey",
         "in_feed_flags": """SELECT event_id, (row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) <= 50 OR row_number() OVER (ORDER BY ts DESC, event_id) <= 100) AS in_feed FROM events""",
         "source_counts": "SELECT source, count(*) AS items FROM documents GROUP BY source",
         "category_rollup": "SELECT lang AS category, source AS name, count(*)::BIGINT AS items FROM documents GROUP BY ROLLUP (lang, source) HAVING lang IS NOT NULL",
-        "roster_left_join_counts": "SELECT n_regionkey::VARCHAR AS category, n_name AS name, count(s_suppkey) AS items FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 5000 GROUP BY 1, 2",
+        "roster_left_join_counts": "SELECT n_regionkey::VARCHAR AS category, n_name AS name, count(s_suppkey) AS items FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1, 2",
         "new_refs_anti": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
         "suppressed_anti": f"WITH {_FAILS} SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM g WHERE next_retry > TIMESTAMP '2024-01-20')",
         "failure_backoff": f"WITH {_FAILS} SELECT user_id, attempts, next_retry FROM g",
@@ -77,7 +77,7 @@ def oracle_sql() -> dict[str, str]:
             coalesce(o.at, TIMESTAMP '2024-02-01') AS discovered_at, (n.user_id IS NOT NULL AND o.title IS DISTINCT FROM n.title) AS changed FROM o FULL JOIN n ON o.user_id = n.user_id""",
         "content_hash_changes": f"""WITH h AS (SELECT conv_id, turn, {_HASH.format(a='role', b='text', c="''", d="''")} AS content_hash FROM conversations)
             SELECT conv_id, turn, content_hash, content_hash IS DISTINCT FROM lag(content_hash) OVER (PARTITION BY conv_id ORDER BY turn) AS changed FROM h""",
-        "date_backfill": "SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate END, CASE WHEN event_id % 3 <> 0 THEN ts END) AS published_at FROM orders LEFT JOIN events ON o_orderkey = event_id",
+        "date_backfill": "SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate END, ts) AS published_at FROM orders LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS ts FROM lineitem WHERE l_linenumber % 2 = 0 GROUP BY 1) ON o_orderkey = l_orderkey",
         "emit_decision": """WITH r AS (SELECT doc_id, doc_id % 2 = 0 AS saved, coalesce(quality = 1, NOT (doc_id % 3 > 0)) AS sure FROM documents LEFT JOIN labels USING (doc_id))
             SELECT doc_id, saved OR sure AS emit, NOT saved OR sure AS "full" FROM r""",
         "minutes_iso": f"""WITH d AS (SELECT DISTINCT l_orderkey, l_linenumber, l_quantity::BIGINT AS quantity FROM lineitem), m AS (SELECT *, CASE WHEN quantity * 7 - 30 > 0 THEN quantity * 7 - 30 END AS minutes FROM d)
@@ -95,24 +95,26 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT DISTINCT l_orderkey, c + 2, '' FROM x WHERE false""",
         "caption_sections": f"WITH {_ITEMS} SELECT DISTINCT l_orderkey, c + 2 AS ingredients, CASE WHEN l_orderkey % 3 > 0 THEN c + 1 ELSE 0 END AS instructions FROM x",
         "caption_steps": f"""WITH {_ITEMS} SELECT l_orderkey, n - 1 AS pos, 'Add by ' || day AS step FROM x WHERE l_orderkey % 3 > 0
-            UNION ALL SELECT DISTINCT l_orderkey, c, 'Serve to 4 guests and garnish generously' FROM x WHERE l_orderkey % 3 > 0""",
+            UNION ALL SELECT DISTINCT l_orderkey, c, 'Makes 4 plates when all of it is shared out' FROM x WHERE l_orderkey % 3 > 0""",
         "caption_confident": "SELECT DISTINCT l_orderkey, l_orderkey % 3 > 0 AS confident FROM lineitem",
         "caption_yield": "SELECT DISTINCT l_orderkey, 'Serves ' || (l_orderkey % 7 + 1) AS servings FROM lineitem",
         "caption_lines_documents": r"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, e' \t\r')), lambda x: x <> '') AS ls FROM documents)
             SELECT doc_id, sha1(array_to_string(ls, ' ')) AS description_sha1, false AS confident FROM l""",
-        "steps_numbered": "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position, role || ' ' || length(text) AS text FROM conversations",
+        "steps_numbered": r"""WITH l AS (SELECT conv_id, turn, ls, generate_subscripts(ls, 1) AS n FROM (SELECT conv_id, turn, string_split(role || ': ' || text, chr(10)) AS ls FROM conversations)),
+            t AS (SELECT conv_id, turn, n, regexp_replace(ls[n], '^\s+|\s+$', '', 'g') AS text FROM l)
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, n) AS position, text FROM t WHERE text <> ''""",
         "jsonld_roundtrip": f"""SELECT p_partkey, p_name || ' </b> ' || p_partkey AS title, p_brand || chr(10) || p_type AS ingredients, 'do ' || p_size || chr(10) || 'then & stop' AS instructions,
             {_ISO.format(m='p_size')} AS total_time, CASE WHEN p_partkey % 2 = 0 THEN 'Saved;' ELSE '' END || p_type AS tags, sha1('parts|https://e.example.com/p/' || p_partkey) AS dedup_key FROM part""",
         "script_escape": "SELECT page_id, sha1(replace(replace(replace(html, '<', chr(92) || 'u003c'), '>', chr(92) || 'u003e'), '&', chr(92) || 'u0026')) AS escaped_sha1 FROM pages",
         "sitemap_parse": f"""WITH p AS (SELECT page_id, url, {_HOST.format(u='url')} AS source, CASE WHEN page_id % 4 > 0 THEN '2024-01-' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') END AS lastmod FROM pages),
             o AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY source, url ORDER BY coalesce(lastmod, '') DESC, page_id) = 1)
             SELECT source, row_number() OVER (PARTITION BY source ORDER BY coalesce(lastmod, '') DESC, page_id) - 1 AS ord, url AS loc, lastmod FROM o""",
-        "rss_parse": "SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS ord, 'https://e.example.com/' || event_id || '?a=1&b=2' AS ref, date_trunc('second', ts) AS date_hint FROM events WHERE event_type = 'purchase'",
-        "atom_parse": "SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS ord, 'https://e.example.com/' || CASE WHEN event_id % 2 = 0 THEN 'p' ELSE 'edit' END || '/' || event_id AS ref, date_trunc('second', ts) AS date_hint FROM events WHERE event_type = 'purchase'",
+        "rss_parse": "SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS ord, 'https://e.example.com/' || event_id || '?a=1&b=2' AS ref, date_trunc('second', ts) AS date_hint FROM events",
+        "atom_parse": "SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS ord, 'https://e.example.com/' || CASE WHEN event_id % 2 = 0 THEN 'p' ELSE 'edit' END || '/' || event_id AS ref, date_trunc('second', ts) AS date_hint FROM events",
         "date_parse_formats": "SELECT event_id, CASE WHEN event_id % 5 = 4 THEN NULL WHEN event_id % 5 = 3 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END::TIMESTAMP AS parsed FROM events",
         "seed_parse": """WITH c AS (SELECT *, (conv_id % 16)::VARCHAR AS source FROM conversations)
             SELECT source, row_number() OVER (PARTITION BY source ORDER BY conv_id, turn) - 1 AS ord, 'https://www.instagram.com/p/C' || conv_id || 'x' || turn AS ref, 'C' || conv_id || 'x' || turn AS code,
-            '#first line' || chr(10) || 'length ' || length(text) AS caption, 'https://i.example.com/' || turn || '.jpg' AS image_url, role || ';Quick' AS tags FROM c""",
+            '#first line' || chr(10) || text AS caption, 'https://i.example.com/' || turn || '.jpg' AS image_url, role || ';Quick' AS tags FROM c""",
         "saved_records": """SELECT event_id, CASE WHEN event_id % 3 > 0 THEN event_type ELSE 's' END AS title, CASE WHEN event_id % 2 = 0 THEN 'https://e.example.com/x' ELSE '' END AS source_url,
             CASE WHEN event_id % 5 > 0 THEN 'i2' ELSE 'i1' END AS image_url, 'au' AS author, 'A;' || event_type AS tags, sha1('saves|saved://item/' || event_id) AS dedup_key FROM events""",
         "safe_links": "SELECT page_id, CASE page_id % 3 WHEN 0 THEN upper(url) WHEN 1 THEN '' ELSE url END AS link, page_id % 3 <> 1 AS real_image FROM pages",
@@ -128,4 +130,6 @@ def oracle_sql() -> dict[str, str]:
     cat = "(SELECT *, CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 ELSE 3 END AS so, CASE WHEN event_type IN ('click', 'purchase') THEN 'recipe' ELSE 'cocktail' END AS cat FROM events WHERE event_type <> 'view')"
     parts = (("'source:' || event_type", "event_type", 50), ("'all'", "1", 100), ("'category:' || cat", "cat", 100))
     out["feeds_all"] = " UNION ALL ".join(f"SELECT * FROM ({_ranked(g, 'ts', 'so, event_id', cap, cat, f'{name} AS feed, rank, event_id')})" for name, g, cap in parts)
-    return out
+    from harvestry.plans import scenario_oracles
+
+    return out | scenario_oracles.oracle_sql()

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from harvestry.functions import dates, text, urls
 from harvestry.operators import captions, cards, ranking, state
+from harvestry.scratch import new_folder
 from harvestry.sinks import render
+from harvestry.sinks.tables import Snapshots
 from harvestry.sources import pages, saved_items, seeds, xml_feeds
 from harvestry.sources.schemas import CATALOG, conform
 
@@ -105,9 +107,10 @@ def feed_per_category(spark, d):
 
 
 def feed_date_fallback(spark, d):
-    o, e = _t(spark, d, "orders"), _t(spark, d, "events").select("event_id", "ts")
+    o = _t(spark, d, "orders")
+    first = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("ts"))
     published = F.when(F.col("o_orderkey") % 3 == 0, _ts("o_orderdate"))
-    rows = o.join(e, F.col("o_orderkey") == F.col("event_id"), "left")
+    rows = o.join(first, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return rows.select("o_orderkey", _ntz(dates.sort_date(published, _ts("ts"))).alias("sort_date"))
 
 
@@ -132,7 +135,7 @@ def category_rollup(spark, d):
 def roster_left_join_counts(spark, d):
     nation, supplier = _t(spark, d, "nation"), _t(spark, d, "supplier")
     roster = nation.select(F.lit(True).alias("enabled"), F.col("n_regionkey").cast("string").alias("category"), F.col("n_nationkey").alias("ord"), F.col("n_name").alias("name"), F.lit("").alias("display_name"))
-    catalog = supplier.filter("s_acctbal > 5000").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("source"))
+    catalog = supplier.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("source"))
     return ranking.source_counts(catalog, roster).select("category", "name", "items")
 
 
@@ -195,7 +198,7 @@ def content_hash_changes(spark, d):
 def date_backfill(spark, d):
     o = _t(spark, d, "orders")
     base = o.select(F.col("o_orderkey").cast("string").alias("dedup_key"), F.lit("orders").alias("source"), F.lit("").alias("source_url"), F.lit("rehost").alias("mode"), F.when(F.col("o_orderkey") % 4 != 0, _ts("o_orderdate")).alias("published_at"))
-    refs = _t(spark, d, "events").select(F.col("event_id").cast("string").alias("dedup_key"), F.col("event_id").alias("ord"), F.when(F.col("event_id") % 3 != 0, _ts("ts")).alias("date_hint"))
+    refs = _t(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("dedup_key"), F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint").alias("ord"), F.when(F.col("l_linenumber") % 2 == 0, _ts("l_shipdate")).alias("date_hint"))
     return state.backfill_dates(conform(base), refs, F.lit(NOW).cast("timestamp")).select(F.col("dedup_key").cast("bigint").alias("o_orderkey"), _ntz(F.col("published_at")).alias("published_at"))
 
 
@@ -249,7 +252,7 @@ def _captions(spark, d):
         F.lit("\n450 kcal | 30g protein\nIngredients:\n"),
         lines(lambda x: F.concat(F.lit("- "), x["q"].cast("string"), F.lit("g "), x["p_name"])),
         F.lit("\nFor the sauce:\n• 100g sugar\n"),
-        F.when(F.col("l_orderkey") % 3 > 0, F.concat(F.lit("Method\n"), F.array_join(F.transform("xs", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". Add by "), x["day"])), "\n"), F.lit("\nServe to 4 guests and garnish generously"))).otherwise(""),
+        F.when(F.col("l_orderkey") % 3 > 0, F.concat(F.lit("Method\n"), F.array_join(F.transform("xs", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". Add by "), x["day"])), "\n"), F.lit("\nMakes 4 plates when all of it is shared out"))).otherwise(""),
         F.lit("\n#food #home"),
     )
     return one.select("l_orderkey", captions.parse_caption(caption).alias("p"))
@@ -285,7 +288,7 @@ def caption_lines_documents(spark, d):
 
 
 def steps_numbered(spark, d):
-    c = _t(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", F.length("text").alias("n")))), lambda x: F.concat(F.lit(" "), x["role"], F.lit(" "), x["n"].cast("string"), F.lit(" \n "))), "\n").alias("t"))
+    c = _t(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: F.concat(F.lit(" "), x["role"], F.lit(": "), x["text"], F.lit(" \n "))), "\n").alias("t"))
     return c.select("conv_id", F.explode(cards.numbered_steps(F.col("t"))).alias("s")).select("conv_id", F.col("s.position").cast("bigint").alias("position"), "s.text")
 
 
@@ -331,7 +334,7 @@ def sitemap_parse(spark, d):
 
 
 def _dated(d, spark):
-    e = _t(spark, d, "events").filter("event_type = 'purchase'")
+    e = _t(spark, d, "events")
     return e.select("event_id", "user_id", _ts("ts").alias("ts"))
 
 
@@ -364,7 +367,7 @@ def date_parse_formats(spark, d):
 def seed_parse(spark, d):
     c = _t(spark, d, "conversations")
     n = F.col("turn").cast("string")
-    block = F.concat(F.lit("# note\nhttps://www.instagram.com/p/C"), F.col("conv_id").cast("string"), F.lit("x"), n, F.lit("/?igshid=z\ntags: "), F.col("role"), F.lit(", Quick/quick\nimage: https://i.example.com/"), n, F.lit(".jpg\n\n#first line\nlength "), F.length("text").cast("string"), F.lit("\n"))
+    block = F.concat(F.lit("# note\nhttps://www.instagram.com/p/C"), F.col("conv_id").cast("string"), F.lit("x"), n, F.lit("/?igshid=z\ntags: "), F.col("role"), F.lit(", Quick/quick\nimage: https://i.example.com/"), n, F.lit(".jpg\n\n#first line\n"), F.col("text"), F.lit("\n"))
     lists = c.groupBy((F.col("conv_id") % 16).alias("k")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "turn", block.alias("b")))), lambda x: x["b"]), "\n===\n").alias("text"))
     out = seeds.seed_entries(lists.select(F.col("k").cast("string").alias("source"), "text"))
     return out.select("source", "ord", "ref", urls.shortcode(F.col("url")).alias("code"), "caption", "image_url", F.array_join("tags", ";").alias("tags"))
@@ -413,9 +416,14 @@ def emoji_titles(spark, d):
 
 
 def catalog_scan(spark, d):
-    c = _cards(spark, d)
-    few = c.select("dedup_key", "source", "source_url", "mode", "title", "seq")
-    return conform(few).select(F.col("seq").alias("p_partkey"), "title", "category", "saved_via", "in_feed", F.size("categories").cast("bigint").alias("n_tags"), F.col("published_at").isNull().alias("no_date"))
+    """A stored catalog, written by two versions, as it is scanned; one that was never written is empty."""
+    few = _cards(spark, d).select("dedup_key", "source", "source_url", "mode", "title", "seq")
+    stored = Snapshots(spark, new_folder(spark, "scan"), CATALOG, ("source",))
+    empty = stored.read()
+    stored.write(conform(few.withColumn("title", F.lit("old"))))
+    stored.write(conform(few))
+    c = stored.read().unionByName(empty)
+    return c.select(F.col("seq").alias("p_partkey"), "title", "category", "saved_via", "in_feed", F.size("categories").cast("bigint").alias("n_tags"), F.col("published_at").isNull().alias("no_date"))
 
 
 def feeds_all(spark, d):
@@ -432,4 +440,6 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in QUERIES}
+    from harvestry.plans import scenarios
+
+    return {q.__name__: q for q in QUERIES} | scenarios.queries()
