@@ -9,7 +9,6 @@ words, under each pair the third words in order. No step holds more than a range
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,46 +19,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.llm.files import Writer, mapped, unique
+from harvestry.llm.hashing import Hasher
 from harvestry.llm.workers import bounded_batches, give_back, kept, map_batches
 from harvestry.scratch import drop, materialise, new_folder
 
-#: Stands for the end of a text; no word has a line feed.
-END = b"\n"
 #: Words looked at together: each by the two before it.
 ORDER = 3
 _MIX = 0x9E3779B97F4A7C15
 _BACK = pow(_MIX, -1, 1 << 64)
 #: Text whose pairs one range holds, and how many times fewer ranges there are of words.
 RANGE_BYTES, WORD_RANGES = 16 << 20, 8
-#: Pairs followed by more words than this have their sums written down.
-HEAVY = 32
-#: Bytes of text handled at once by a worker, distinct words that it remembers, and tokens it gathers before sending them on.
-SLICE_BYTES, MAX_WORDS, MAX_TOKENS = 4 << 20, 250_000, 2_000_000
+#: Pairs followed by more words than this have their sums written down; of 2 ** NEAR starts of stretches one is known whole.
+HEAVY, NEAR = 32, 4
+#: Bytes of text handled at once by a worker, distinct words and tokens that it gathers before sending them on.
+SLICE_BYTES, MAX_WORDS, MAX_TOKENS = 2 << 20, 1_000_000, 3_000_000
+#: Word numbers at hand, a power of two.
+CACHED = 1 << 19
 
 
-def slices(batches) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
-    """Parts of (.., body binary) batches of about SLICE_BYTES, with the words of each body, A-Z in lower case."""
+def slices(batches) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of (.., body binary) batches of about SLICE_BYTES, with the hashes of their tokens and each body's number of them."""
+    hasher = kept("token hashes", Hasher, beside=True)
     for batch in batches:
         body = batch.column(batch.num_columns - 1)
-        at, words, size = 0, [], 0
-        for i, text in enumerate(body):
-            raw = text.as_py() or b""
-            words.append(raw.lower().split())
-            size += len(raw)
-            if size >= SLICE_BYTES:
-                yield batch.slice(at, i + 1 - at), words
-                at, words, size = i + 1, [], 0
-        if words:
-            yield batch.slice(at), words
-
-
-def flat_tokens(words: list[list[bytes]]) -> list[bytes]:
-    """The tokens of texts one after the other, each with its end."""
-    out: list[bytes] = []
-    for ws in words:
-        out += ws
-        out.append(END)
-    return out
+        if not len(body):
+            continue
+        ends = np.frombuffer(body.buffers()[1], np.int32, len(body) + 1, 4 * body.offset).astype(np.int64)
+        at = 0
+        while at < len(body):
+            end = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1)
+            part = batch.slice(at, min(end, len(body)) - at)
+            yield part, *hasher.tokens(part.column(part.num_columns - 1))
+            at += part.num_rows
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,19 +69,26 @@ def by_range(keys: np.ndarray, columns: list[np.ndarray], bits: int) -> Iterator
         yield int(r), [c[edges[r] : edges[r + 1]] for c in (keys, *columns)]
 
 
+def planes(values: np.ndarray) -> bytes:
+    """64-bit numbers in the least number of bytes that holds them all: a byte for it, then their bytes by place."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    return bytes([width]) + np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unplaned(data: bytes) -> np.ndarray:
+    found = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((found.shape[1], 8), np.uint8)
+    out[:, : data[0]] = found.T
+    return out.view("<u8").ravel()
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
-    """Ascending 64-bit keys as steps in the least number of bytes that holds them all: a byte for it, then its planes."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
-    return bytes([width]) + np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    """Ascending 64-bit keys as planes of their steps."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpacked_keys(data: bytes) -> np.ndarray:
-    width = data[0]
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :width] = planes.T
-    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+    return np.cumsum(unplaned(data), dtype=np.uint64)
 
 
 def _narrow(counts: np.ndarray) -> np.ndarray:
@@ -128,30 +126,33 @@ def _cached(uri: str, about: str) -> list[np.ndarray]:
     return _open[uri]
 
 
-class Vocabulary(dict):
-    """Word bytes to number, from the sorted hashes of the files; -1 for unknown words."""
+class Vocabulary:
+    """Hashes of tokens to word numbers, by the sorted hashes of the files; -1 for unknown words.
+
+    What was looked up last for each value of some bits of a hash is at hand in two arrays.
+    """
 
     def __init__(self, files: list[tuple[str, str]], starts: list[int], bits: int):
-        super().__init__()
         self.files, self.starts, self.bits = files, starts, bits
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        new = list(set(words).difference(self.keys()))
-        if len(self) + len(new) > MAX_WORDS:
-            self.clear()
-            new = list(set(words))
-        if new:
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
-            order = np.argsort(hashes)
-            found = np.full(len(new), -1, np.int64)
-            for r, (part, at) in by_range(hashes[order], [order], self.bits):
+        self.hashes, self.found = np.zeros(CACHED, np.uint64), np.full(CACHED, -1, np.int64)
+        self.filled = np.zeros(CACHED, bool)
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes & np.uint64(CACHED - 1)).astype(np.int64)
+        out = self.found[slot]
+        new = np.flatnonzero((self.hashes[slot] != hashes) | ~self.filled[slot])
+        if len(new):
+            some, which = np.unique(hashes[new], return_inverse=True)
+            found = np.full(len(some), -1, np.int64)
+            for r, (part, at) in by_range(some, [np.arange(len(some))], self.bits):
                 uri, about = self.files[r]
                 if uri:
-                    have = _cached(uri, about)[0]
-                    place, ok = _found(have, part)
+                    place, ok = _found(_cached(uri, about)[0], part)
                     found[at[ok]] = place + self.starts[r]
-            self.update(zip(new, found.tolist(), strict=True))
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+            out[new] = found[which]
+            place = (some & np.uint64(CACHED - 1)).astype(np.int64)
+            self.hashes[place], self.found[place], self.filled[place] = some, found, True
+        return out
 
 
 @dataclass
@@ -165,7 +166,7 @@ class Model:
     starts: list[int]  # the first word number of each range, then the number of words
     stats: list[tuple[str, str]]  # by the same ranges: c(h), N1(h), N2(h), N3+(h), N1+(.w)
     pairs: list[tuple[str, str]]  # by range of products: products, counts (of order 3: of words before)
-    triples: list[tuple[str, str]]  # by range of products: products, offsets, third words, counts, and sums of heavy products
+    triples: list[tuple[str, str]]  # by range of products: products, where their stretches start (two arrays), third words (low 16 bits, the others), counts, and sums of heavy products
     tokens: int
     discounts: list[tuple[float, float, float]]  # of words, pairs, triples
     low_total: int
@@ -215,22 +216,26 @@ class Model:
                 out[at[ok]] = counts[place]
         return out
 
-    def triple_counts(self, products: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """c(uvw), c(uv) and the mass left after it, for ascending products of uv (also repeated) and each one's w."""
-        count, total, left = np.zeros(len(products), np.int64), np.zeros(len(products), np.int64), np.ones(len(products))
+    def triple_counts(self, products: np.ndarray, which: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """c(uvw), c(uv) and the mass left after it, for tokens w after the ascending products of uv, the which-th each."""
+        count, total, left = np.zeros(len(which), np.int64), np.zeros(len(products), np.int64), np.ones(len(products))
+        range_of = np.full(len(products), -1, np.int32)
+        low, high = np.zeros(len(products), np.int64), np.zeros(len(products), np.int64)
+        d = self.discounts[2]
         for r, (part, at) in by_range(products, [np.arange(len(products))], self.bits):
             if not self.triples[r][0]:
                 continue
-            keys, offsets, words, counts, heavy, sums, n1, n2, n3 = _cached(*self.triples[r])
+            keys, known, steps, _, _, counts, heavy, sums, n1, n2, n3 = _cached(*self.triples[r])
             place, ok = _found(keys, part)
             at = at[ok]
             if not len(at):
                 continue
-            some, which = np.unique(place, return_inverse=True)
-            first, end = offsets[some].astype(np.int64), offsets[some + 1].astype(np.int64)
-            c = np.zeros((4, len(some)), np.int64)
+            range_of[at] = r
+            first, end = _border(known, steps, place), _border(known, steps, place + 1)
+            low[at], high[at] = first, end
+            c = np.zeros((4, len(at)), np.int64)
             large = end - first > HEAVY
-            j = np.searchsorted(heavy, some[large])
+            j = np.searchsorted(heavy, place[large])
             for row, column in zip(c, (sums, n1, n2, n3), strict=True):
                 row[large] = column[j]
             n = (end - first)[~large]
@@ -239,22 +244,28 @@ class Model:
                 seen = counts[np.repeat(first[~large] - before, n) + np.arange(n.sum())].astype(np.int64)
                 for row, column in zip(c, (seen, seen == 1, seen == 2, seen > 2), strict=True):
                     row[~large] = np.add.reduceat(column.astype(np.int64), before)
-            d = self.discounts[2]
-            total[at], left[at] = c[0][which], ((c[1] * d[0] + c[2] * d[1] + c[3] * d[2]) / c[0])[which]
-            # each third word by halving its pair's stretch
-            low, high, want = first[which], end[which], word[at]
-            limit = high.copy()
-            active = np.arange(len(at))
-            while len(active):
-                middle = (low[active] + high[active]) >> 1
-                less = words[middle] < want[active]
-                low[active[less]] = middle[less] + 1
-                high[active[~less]] = middle[~less]
-                active = active[low[active] < high[active]]
-            hit = low < limit
-            hit[hit] = words[low[hit]] == want[hit]
-            count[at[hit]] = counts[low[hit]]
-        return count, total, left
+            total[at], left[at] = c[0], (c[1] * d[0] + c[2] * d[1] + c[3] * d[2]) / c[0]
+        range_of = range_of[which]
+        for r in np.unique(range_of[range_of >= 0]).tolist():
+            tail, front, counts = _cached(*self.triples[r])[3:6]
+            mine = np.flatnonzero(range_of == r)
+            a, b, want = low[which[mine]], high[which[mine]], word[mine]
+            limit, active = b.copy(), np.arange(len(mine))
+            while len(active):  # each third word by halving its pair's stretch
+                middle = (a[active] + b[active]) >> 1
+                less = (front[middle].astype(np.uint32) << np.uint32(16) | tail[middle]) < want[active]
+                a[active[less]] = middle[less] + 1
+                b[active[~less]] = middle[~less]
+                active = active[a[active] < b[active]]
+            hit = np.flatnonzero(a < limit)
+            hit = hit[(front[a[hit]].astype(np.uint32) << np.uint32(16) | tail[a[hit]]) == want[hit]]
+            count[mine[hit]] = counts[a[hit]]
+        return count, total[which], left[which]
+
+
+def _border(known: np.ndarray, steps: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Where the stretches at these places start: every so many starts are known, the others stand as steps from them."""
+    return known[place >> NEAR].astype(np.int64) + steps[place]
 
 
 def _found(keys: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -338,22 +349,18 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER, range_bytes:
     folder = new_folder(spark, "language-model")
 
     def count_words(batches):
-        seen: Counter = Counter()
+        parts: list = []
 
         def out():
-            words = list(seen)
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-            keys, counts = summed(hashes, np.fromiter(seen.values(), np.int64, len(words)))
-            seen.clear()
+            keys, counts = summed(*map(np.concatenate, zip(*parts, strict=True)))
+            parts.clear()
             return _send([(r, packed_keys(k), _varied(c), None) for r, (k, c) in by_range(keys, [counts], word_bits)])
 
-        for _, words in slices(batches):
-            for ws in words:
-                seen.update(ws)
-            seen[END] += len(words)
-            if len(seen) > MAX_WORDS:
+        for _, hashes, _ in slices(batches):
+            parts.append(np.unique(hashes, return_counts=True))
+            if sum(len(k) for k, _ in parts) > MAX_WORDS:
                 yield out()
-        if seen:
+        if parts:
             yield out()
 
     def merge_words(table: pa.Table) -> pa.Table:
@@ -374,10 +381,10 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER, range_bytes:
         """Arrays of word numbers and of their texts' lengths, MAX_TOKENS or so at a time."""
         vocabulary = kept(("numbers", folder), lambda: Vocabulary(words, starts, word_bits))
         ids, lengths, n = [], [], 0
-        for _, ws in slices(batches):
-            ids.append(vocabulary.numbers(flat_tokens(ws)))
-            lengths.append(np.array([len(w) + 1 for w in ws]))
-            n += len(ids[-1])
+        for _, hashes, counts in slices(batches):
+            ids.append(vocabulary.numbers(hashes))
+            lengths.append(counts)
+            n += len(hashes)
             if n > MAX_TOKENS:
                 yield np.concatenate(ids), np.concatenate(lengths)
                 ids, lengths, n = [], [], 0
@@ -392,32 +399,49 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER, range_bytes:
     def count_triples(batches):
         for ids, lengths in numbered(batches):
             before = contexts(ids, lengths, size)
-            keys, third, counts = _triples(products(contexts(before, lengths, size), before), ids.astype(np.uint32), np.ones(len(ids), np.int64))
-            yield _send([(r, packed_keys(np.unique(k)), _varied(c), _fans(k) + w.tobytes()) for r, (k, w, c) in by_range(keys, [third, counts], bits)])
+            keys, at = np.unique(products(contexts(before, lengths, size), before), return_inverse=True)
+            both, counts = np.unique((at.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64), return_counts=True)
+            del before, at
+            fans = np.bincount((both >> np.uint64(32)).astype(np.int64), minlength=len(keys))
+            third, ends = (both & np.uint64(0xFFFFFFFF)).astype(np.uint64), np.concatenate([[0], np.cumsum(fans)])
+            rows, done = [], 0
+            for r, (k, f) in by_range(keys, [fans], bits):
+                a, b = ends[done], ends[done + len(k)]
+                done += len(k)
+                rows.append((r, packed_keys(k), _varied(f) + _varied(counts[a:b]), planes(third[a:b])))
+            yield _send(rows)
 
     def merge_triples(table: pa.Table) -> pa.Table:
-        parts: list[list[np.ndarray]] = [[], [], []]
-        for keys, counts, more in _blobs(table, "keys", "counts", "more"):
-            keys = unpacked_keys(keys)
-            fans, at = _counted(more, len(keys))
-            for part, x in zip(parts, (np.repeat(keys, fans), np.frombuffer(more, "<u4", offset=at), _plain(counts)), strict=True):
-                part.append(x)
-        keys, third, counts = _triples(*map(np.concatenate, parts))
-        parts.clear()
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        n = np.diff(np.append(first, len(keys)))
+        keys, fans, counts, third = [], [], [], []
+        for blob, numbers, more in _blobs(table, "keys", "counts", "more"):
+            keys.append(unpacked_keys(blob))
+            n = len(keys[-1])
+            fans.append(_plain(numbers, n))
+            counts.append(_plain(numbers[1 + numbers[0] * n :]))
+            third.append(unplaned(more))
+        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+        both = (np.repeat(at.astype(np.uint64), np.concatenate(fans)) << np.uint64(32)) | np.concatenate(third)
+        both, counts = summed(both, np.concatenate(counts))
+        del at, third
+        n = np.bincount((both >> np.uint64(32)).astype(np.int64), minlength=len(keys))
+        third, first = (both & np.uint64(0xFFFFFFFF)).astype("<u4"), np.cumsum(n) - n
         heavy = np.flatnonzero(n > HEAVY)
         sums = [np.add.reduceat(x.astype(np.int64), first)[heavy] for x in (counts, counts == 1, counts == 2, counts > 2)]
-        uri, about = _write(folder, "triples", [keys[first], np.append(first, len(keys)).astype("<u4"), third, _narrow(counts), heavy.astype("<u4"), *map(_narrow, sums)])
+        borders = np.append(first, len(third))
+        known = borders[:: 1 << NEAR].astype("<u4")
+        steps = borders - np.repeat(known, 1 << NEAR)[: len(borders)]
+        words = [(third & np.uint32(0xFFFF)).astype("<u2"), _narrow(third >> np.uint32(16))]
+        uri, about = _write(folder, "triples", [keys, known, _narrow(steps), *words, _narrow(counts), heavy.astype("<u4"), *map(_narrow, sums)])
         return pa.table({"r": table.column("r")[:1], "uri": [uri], "about": [about], **{f"n{k}": pa.array([int((counts == k).sum())], pa.int64()) for k in (1, 2, 3, 4)}})
 
     def pairs_of_triples(batches):
         """(v, w) of the triples of each file: how many words stand before, or how often it heads a text."""
         for batch in batches:
             for row in batch.to_pylist():
-                keys, offsets, third, counts, *_ = _arrays(row["uri"], row["about"])
+                keys, known, steps, tail, front, counts, *_ = _arrays(row["uri"], row["about"])
+                third = front.astype(np.uint32) << np.uint32(16) | tail
                 back = keys * np.uint64(_BACK)
-                second = np.repeat((back & np.uint64(0xFFFFFFFF)).astype(np.int64), np.diff(offsets.astype(np.int64)))
+                second = np.repeat((back & np.uint64(0xFFFFFFFF)).astype(np.int64), np.diff(_border(known, steps, np.arange(len(keys) + 1))))
                 found, n = summed(products(second, third), np.where(second == size, counts.astype(np.int64), 1))
                 for rows in _chunked([(r, packed_keys(k), _varied(c), None) for r, (k, c) in by_range(found, [n], bits)]):
                     yield _send(rows)
@@ -495,35 +519,15 @@ def _chunked(rows: list[tuple], most: int = 64) -> Iterator[list[tuple]]:
         yield rows[at : at + most]
 
 
-def _triples(keys: np.ndarray, third: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (key, third word) in ascending order with their counts' sums."""
-    order = np.lexsort((third, keys))
-    keys, third, counts = keys[order], third[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (third[1:] != third[:-1])]))
-    return keys[first], third[first], np.add.reduceat(counts, first)
-
-
-def _fans(keys: np.ndarray) -> bytes:
-    """How often each of ascending keys repeats: how many bytes each number has, and the numbers, to a multiple of four bytes."""
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    data = _varied(np.diff(np.append(first, len(keys))))
-    return data + b"\0" * (-len(data) % 4)
-
-
-def _counted(data: bytes, n: int) -> tuple[np.ndarray, int]:
-    """The first n numbers of _fans(), and where what follows starts."""
-    size = 1 + n * data[0]
-    return np.frombuffer(data, f"<u{data[0]}", n, 1).astype(np.int64), size + -size % 4
-
-
 def _varied(counts: np.ndarray) -> bytes:
     """Counts with a byte before that says their width."""
     slim = _narrow(counts)
     return bytes([slim.itemsize]) + slim.tobytes()
 
 
-def _plain(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+def _plain(data: bytes, n: int = -1) -> np.ndarray:
+    """All or the first n counts of _varied()."""
+    return np.frombuffer(data, f"<u{data[0]}", n, 1).astype(np.int64)
 
 
 def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -533,31 +537,33 @@ def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def log10_probabilities(model: Model, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """log10 of the model's probability of each word number after those before it in its text, and the words' counts."""
+    heads = np.cumsum(lengths) - lengths
     before = contexts(ids, lengths, model.size)
-    some, at = np.unique(np.concatenate([ids, before]), return_inverse=True)
+    some, word = np.unique(np.append(ids, model.size), return_inverse=True)
     own = model.word_stats(some)
     own[:, some < 0] = 0
     own[0, some == model.size] = 0
-    word, head = at[: len(ids)], at[len(ids) :]
+    word, start = word[:-1], word[-1]
+    head = contexts(word, lengths, start)
     low = np.full(len(some), model.low_rest / (model.size + 1))
     if model.low_total:
         low += np.maximum(own[5] - _discount(own[5], model.discounts[0]), 0) / model.low_total
     context, d = own[1], model.discounts[1]
     left = np.divide(own[2] * d[0] + own[3] * d[1] + own[4] * d[2], context, out=np.ones(len(some)), where=context > 0)
-    both = (ids >= 0) & (before >= 0)
-    keys, where = np.unique(products(before[both], ids[both]), return_inverse=True)
-    c = np.zeros(len(ids), np.int64)
-    c[both] = model.pair_counts(keys)[where]
+    # unknown words have a number that none has; the last product is that of two starts
+    absent = (1 << 32) - 1
+    known = lambda x: np.where(x >= 0, x, absent)
+    pairs = np.append(products(known(before), known(ids)), products(np.array([model.size]), np.array([model.size])))
+    keys, pair = np.unique(pairs, return_inverse=True)
+    c = model.pair_counts(keys)[pair[:-1]]
     out = np.divide(np.maximum(c - _discount(c, d), 0), context[head], out=np.zeros(len(ids)), where=c > 0) + left[head] * low[word]
     if model.order == 3:
-        first = contexts(before, lengths, model.size)
-        known = np.flatnonzero((before >= 0) & (first >= 0))
-        keys = products(first[known], before[known])
-        order = np.argsort(keys, kind="stable")
-        known = known[order]
-        # an unknown word has a number that no third word has
-        c, total, left = model.triple_counts(keys[order], np.where(ids[known] >= 0, ids[known], (1 << 32) - 1).astype(np.uint32))
-        out[known] = np.divide(np.maximum(c - _discount(c, model.discounts[2]), 0), total, out=np.zeros(len(known)), where=c > 0) + left * out[known]
+        # the two words before a token are the pair of the token before it
+        first = np.empty(len(ids), np.int64)
+        first[1:] = pair[:-2]
+        first[heads] = pair[-1]
+        c, total, left = model.triple_counts(keys, first, known(ids).astype(np.uint32))
+        out = np.divide(np.maximum(c - _discount(c, model.discounts[2]), 0), total, out=np.zeros(len(ids)), where=c > 0) + left * out
     return np.log10(out), own[0][word]
 
 
@@ -570,9 +576,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def run(batches):
         vocabulary = model.vocabulary()
         floor = np.log10(model.tokens + 0.1 * (model.size + 1))
-        for part, ws in slices(batches):
-            lengths = np.array([len(w) + 1 for w in ws])
-            ids = vocabulary.numbers(flat_tokens(ws))
+        for part, hashes, lengths in slices(batches):
+            ids = vocabulary.numbers(hashes)
             logs, counts = log10_probabilities(model, ids, lengths)
             at = np.cumsum(lengths) - lengths
             base = np.add.reduceat(np.log10(counts + 0.1) - floor, at)

@@ -9,6 +9,7 @@ one set from the start.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from bisect import bisect_left
 from heapq import heapify, heappop, heappush
@@ -98,7 +99,14 @@ def divide_skip(sets: list[np.ndarray], parts: list[int] | None = None, percent:
         # so many long lists are probed that the few short ones are merged in little time
         aside = min(t - 1, int(t / (0.01 * np.log2(float(length[-1]) + 1) + 1)))
         short, long = at[: len(at) - aside], at[len(at) - aside :]
-        found, count = (np.array(x, np.int64) for x in merge_skip([owner[first[k] : ends[k]].tolist() for k in short], t - aside))
+        # who is connected with q already leaves the lists before they are merged
+        inside_short = np.concatenate([owner[first[k] : ends[k]] for k in short])
+        open_ = root[inside_short] != root[q]
+        if not open_.any():
+            continue
+        borders = np.searchsorted(np.repeat(np.arange(len(short)), ends[short] - first[short])[open_], np.arange(len(short) + 1))
+        rest = inside_short[open_].tolist()
+        found, count = (np.array(x, np.int64) for x in merge_skip([rest[a:b] for a, b in itertools.pairwise(borders.tolist())], t - aside))
         fits = (root[found] != root[q]) & (100 * np.minimum(sizes[found], n) >= percent * np.maximum(sizes[found], n))
         found, count = found[fits], count[fits]
         for i, k in enumerate(long):
@@ -153,9 +161,9 @@ def _order(docs: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
     def shingled(batches):
         make = Shingler(frequent)
         for batch in batches:
-            for text in batch.column(0):
-                if len(found := make.tokens(text.as_py())):
-                    yield pa.RecordBatch.from_arrays([pa.array(found)], ["t"])
+            found = make.batch(batch.column(0))
+            if any(map(len, found)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["t"])
 
     often = map_batches(sample, shingled, "t long").groupBy("t").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FREQUENT_IN)
     hot = np.sort(np.array([r["t"] for r in often.orderBy(F.desc("n"), "t").limit(FREQUENT_SHINGLES).collect()], np.int64))
@@ -215,8 +223,7 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
         for batch in batches:
             ids = batch.column(0).to_pylist()
             sizes, marks, sketches, colds, hots = [], [], [], [], []
-            for i, body in zip(ids, batch.column(1), strict=True):
-                found = make.tokens(body.as_py())
+            for i, found in zip(ids, make.batch(batch.column(1)), strict=True):
                 sizes.append(len(found))
                 marks.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sketches.append(parity_sketch(found))
@@ -311,7 +318,8 @@ def similar_documents(docs: DataFrame, percent: int = 80, key: str = "doc_id", t
     def search(batches):
         make = shingler()
         for task, rows in _grouped(batches, 3):
-            sets = [(i, block, found) for block, i, body in rows if len(found := make.tokens(body))]
+            found = make.batch(pa.array([body for _, _, body in rows], pa.binary()))
+            sets = [(i, block, tokens) for (block, i, _), tokens in zip(rows, found, strict=True) if len(tokens)]
             if len(sets) < 2:
                 continue
             ids, blocks, found = zip(*sets, strict=True)

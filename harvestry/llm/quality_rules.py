@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvestry.llm.samples import agreed
 from harvestry.scratch import materialise
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -124,10 +125,10 @@ def learn_rules(stats: DataFrame, labels: DataFrame, bins: int = 24, max_rules:
     growing is one aggregation whose result has a row for each feature and bin, whatever the
     number of rows. A third of the labelled rows, chosen by a hash of the id, only prunes: tests
     are dropped from the end while (p - n) / (p + n) there doesn't fall, and a rule whose precision
-    on all labelled rows stays under `precision` ends the list. Null labels are left out; without
+    on all labelled rows stays under `precision` ends the list. Null labels, and ids with both, are left out; without
     rows of both classes there are no rules.
     """
-    seen = labels.select(F.col("doc_id").alias("lid"), "quality").filter("lid is not null and quality in (0, 1)").dropDuplicates(["lid"])
+    seen = agreed(labels, "quality").select(F.col("sid").alias("lid"), F.col("y").alias("quality"))
     named = [F.expr(sql).alias(f) for f, sql in FEATURES.items()]
     rows = materialise(
         stats.join(seen, F.col("id") == F.col("lid")).select(*named, (F.col("quality") == 0).alias("low"), (F.pmod(F.xxhash64("id"), F.lit(3)) == 0).alias("prune")), "labelled"

@@ -3,26 +3,21 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
+import pyarrow as pa
+
+from harvestry.llm.hashing import Hasher, stirred
 
 WORDS = 5
-#: Distinct words that a process remembers.
-MAX_WORDS = 250_000
+#: Bytes of text shingled at once.
+SLICE_BYTES = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 56) - 1)
 #: The rarity of a word that the table of frequent ones doesn't have.
 RARE = 24
 
 
-def _stirred(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64 bits under which neighbouring values part (the finaliser of SplitMix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Shingler(dict):
-    """Turns texts into arrays of distinct tokens.
+class Shingler:
+    """Turns texts into arrays of distinct tokens, a batch at a time.
 
     A token's top bit is free; then come seven bits that are small if its words are rare, then 56
     bits of a hash of the words. Rarity comes from a table of frequent words; whatever that table
@@ -30,35 +25,46 @@ class Shingler(dict):
     """
 
     def __init__(self, frequent: dict[bytes, int]):
-        super().__init__()
-        self.frequent = frequent
-        self.hashes, self.rarities = np.empty(MAX_WORDS, np.uint64), np.empty(MAX_WORDS, np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        out = len(self)
-        if out >= len(self.hashes):  # a single text with so many words
-            self.hashes, self.rarities = np.resize(self.hashes, 2 * out), np.resize(self.rarities, 2 * out)
-        self.hashes[out], self.rarities[out] = xxhash.xxh64_intdigest(word), self.frequent.get(word, RARE)
-        self[word] = out
+        self.hasher = Hasher()
+        words = sorted((int(self.hasher.tokens(pa.array([w], pa.binary()))[0][0]), r) for w, r in frequent.items())
+        self.words, self.rarities = np.array([h for h, _ in words], np.uint64), np.array([r for _, r in words] + [RARE], np.int64)
+
+    def batch(self, body: pa.Array) -> list[np.ndarray]:
+        """Each text's ascending distinct tokens (null: none); fewer than five words are one shingle, none are no shingle."""
+        whole, out, at = pa.array([t.as_py() or b"" for t in body], pa.binary()) if body.null_count else body, [], 0
+        ends = np.frombuffer(whole.buffers()[1], np.int32, len(whole) + 1, 4 * whole.offset).astype(np.int64) if len(whole) else np.zeros(1, np.int64)
+        while at < len(whole):  # SLICE_BYTES at a time, or a longer text
+            end = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1)
+            out += self._slice(whole.slice(at, end - at))
+            at = end
         return out
 
+    def _slice(self, whole: pa.Array) -> list[np.ndarray]:
+        hashes, counts = self.hasher.tokens(whole)
+        ends = np.cumsum(counts)
+        h = np.delete(hashes, ends - 1)
+        counts, starts = counts - 1, ends - counts - np.arange(len(counts))
+        if not len(h):
+            return [np.empty(0, np.int64)] * len(counts)
+        at = np.searchsorted(self.words, h)
+        at[at == len(self.words)] = 0
+        known = self.words[at] == h if len(self.words) else np.zeros(len(h), bool)
+        rare = np.concatenate([[0], np.cumsum(self.rarities[np.where(known, at, len(self.words))])])
+
+        def tokens(first: int, n: int, width: int) -> np.ndarray:
+            out = np.full(n, width, np.uint64)
+            for k in range(width):
+                out = out * _STEP + h[first + k : first + k + n]
+            top = (127 - np.minimum(rare[first + width : first + width + n] - rare[first : first + n], 127)).astype(np.uint64)
+            return ((stirred(out) & _LOW) | (top << np.uint64(56))).astype(np.int64)
+
+        full = tokens(0, len(h) - WORDS + 1, WORDS) if len(h) >= WORDS else np.empty(0, np.int64)
+        return [
+            np.unique(full[s : s + c - WORDS + 1]) if c >= WORDS else tokens(s, 1, c) if c else np.empty(0, np.int64) for s, c in zip(starts.tolist(), counts.tolist(), strict=True)
+        ]
+
     def tokens(self, text: bytes | None) -> np.ndarray:
-        """Ascending distinct tokens; fewer than five words are one shingle, none are no shingle."""
-        words = text.lower().split() if text else []
-        if not words:
-            return np.empty(0, np.int64)
-        if len(self) + len(words) > MAX_WORDS:
-            self.clear()  # between texts only: numbers stay valid inside one
-        ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        h, r = self.hashes[ids], self.rarities[ids]
-        n = max(1, len(words) - WORDS + 1)
-        width = min(len(words), WORDS)
-        out, rare = np.full(n, width, np.uint64), np.zeros(n, np.int64)
-        for k in range(width):
-            out = out * _STEP + h[k : k + n]
-            rare += r[k : k + n]
-        top = (127 - np.minimum(rare, 127)).astype(np.uint64)
-        return np.unique((_stirred(out) & _LOW) | (top << np.uint64(56))).astype(np.int64)
+        return self.batch(pa.array([text], pa.binary()))[0]
 
 
 #: The least and most bits of a sketch; sets of more tokens than a sketch has bits have one of twice the bits, and so on.

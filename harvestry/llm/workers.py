@@ -16,12 +16,19 @@ _BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 _kept: dict[Hashable, Any] = {}
 
 
-def kept(key: Hashable, make: Callable[[], Any]) -> Any:
-    """What make() gave for key in this process; whatever was kept for another key is let go first."""
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = make()
-    return _kept[key]
+#: Small things that stay whatever else is kept.
+_beside: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any], beside: bool = False) -> Any:
+    """What make() gave for key in this process; whatever was kept for another key is let go first, unless this is one to stay beside others."""
+    there = _beside if beside else _kept
+    if key not in there:
+        if not beside:
+            _kept.clear()
+            _beside.clear()
+        there[key] = make()
+    return there[key]
 
 
 def bounded_batches(spark: SparkSession) -> None:

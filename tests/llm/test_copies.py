@@ -223,3 +223,15 @@ def test_decontaminate_keeps_rows(spark, table, odd):
     out = decontamination.decontaminate(docs, items)
     assert out.columns == docs.columns and out.count() == len(odd)
     assert decontamination.decontaminate(docs, items.limit(0)).count() == len(odd) + 2
+
+
+def test_shingles_of_a_batch_are_those_of_each_text(odd):
+    import pyarrow as pa
+
+    texts = [t.encode() if t is not None else None for _, t in odd] + [b"a b c d", b"a b c d e", b"e f g h i j", b"x", b"A b C d"]
+    make = Shingler({b"a": 2, b"e": 5})
+    whole = make.batch(pa.array(texts, pa.binary()))
+    for text, tokens in zip(texts, whole, strict=True):
+        assert np.array_equal(Shingler({b"e": 5, b"a": 2}).tokens(text), tokens)
+        assert len(tokens) == len(shingles(text.decode("utf-8", "replace") if text else None)) and (np.diff(tokens) > 0).all()
+    assert np.array_equal(whole[len(odd)], whole[-1])

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from harvestry.llm import kneser_ney, quality_model, toxicity
+from harvestry.llm import hashing, kneser_ney, quality_model, toxicity
 from harvestry.llm.samples import fold
 
 
@@ -170,3 +170,27 @@ def test_language_model_edges(spark, table):
     assert kneser_ney.score(table([]), empty).count() == 0
     with pytest.raises(ValueError):
         kneser_ney.train(table([]), order=4)
+
+
+def test_hashes_of_tokens_are_those_of_their_words():
+    import pyarrow as pa
+
+    r = random.Random(6)
+    texts = [bytes(r.choice(b"aAbB \t\n\x0b\x0c\r\x1c\x00\xc3\xa9\xff") for _ in range(r.randrange(30))) for _ in range(300)] + [b"", b"x", b" ", b"ab", b"cd"]
+    hasher, seen = hashing.Hasher(), {}
+    column = pa.array([b"skipped", *texts], pa.binary()).slice(1)
+    hashes, lengths = hasher.tokens(column)
+    at = 0
+    for text, n in zip(texts, lengths.tolist(), strict=True):
+        words = [*text.lower().split(), b"\n"]
+        assert n == len(words)
+        for word, h in zip(words, hashes[at : at + n].tolist(), strict=True):
+            assert seen.setdefault(word, h) == h
+        at += n
+    assert at == len(hashes) and len(set(seen.values())) == len(seen)
+    # in small steps, and with a word longer than a step, and one text at a time
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(hashing, "CHUNK", 7)
+        assert np.array_equal(hashing.Hasher().tokens(column)[0], hashes)
+    assert np.array_equal(np.concatenate([hashing.Hasher().tokens(pa.array([t], pa.binary()))[0] for t in texts]), hashes)
+    assert [len(x) for x in hasher.tokens(pa.array([], pa.binary()))] == [0, 0]
