@@ -250,7 +250,9 @@ def bundle_archives(spark, d):
     c = _cards(spark, d)
     p = _t(spark, d, "part").select(F.col("p_partkey").alias("k"), "p_brand", "p_name")
     rows = c.drop("source", "title").join(p, F.col("seq") == F.col("k")).withColumns({"source": F.col("p_brand"), "title": F.col("p_name")})
-    made = render.zip_bundles(render.bundles(rows.select(*CATALOG.names)))
+    folder = new_folder(spark, "bundles")
+    made = render.write_bundles(render.bundles(rows.select(*CATALOG.names)), folder)
+    whole = spark.read.format("binaryFile").load(folder).select(F.url_decode(F.regexp_extract("path", r"([^/]+)\.zip$", 1)).alias("s"), "content")
 
     def unpack(frames):
         for frame in frames:
@@ -258,7 +260,7 @@ def bundle_archives(spark, d):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     yield pd.DataFrame([(source, items, n, json.loads(z.read(n))["id"]) for n in z.namelist()], columns=["source", "items", "file", "id"])
 
-    return made.mapInPandas(unpack, "source string, items long, file string, id string")
+    return made.join(whole, F.col("source") == F.col("s")).select("source", "items", "content").mapInPandas(unpack, "source string, items long, file string, id string")
 
 
 def image_checks(spark, d):
