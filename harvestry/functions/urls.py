@@ -35,7 +35,7 @@ def canonical_url(url: Column) -> Column:
 
 
 def dedup_key(source: Column, url: Column) -> Column:
-    """The key of an item: never made of its title or date, which change."""
+    """Source and address in one form, hashed: two spellings of an address are one item of a source."""
     return F.sha1(F.concat_ws("|", text_of(source), canonical_url(url)).cast("binary"))
 
 
