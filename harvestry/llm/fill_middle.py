@@ -107,8 +107,8 @@ def _draws(key: Column, seed: int) -> list[Column]:
 _OUT = "n long, form string, prefix_units long, middle_units long, output string"
 
 
-def transform(docs: DataFrame, recipe: Recipe = Recipe(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """row (a struct of all columns of docs), n, form, prefix_units, middle_units, output: a row for each of docs.
+def transform(docs: DataFrame, recipe: Recipe = Recipe(), key: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """row (a struct of the columns to carry, or of all of docs), n, form, prefix_units, middle_units, output: a row for each of docs.
 
     n is the number of units of the whole text. The cuts are ranks from the key's draws; form is
     plain where the text is empty, holds one of the marks (so that every output can be taken apart
@@ -119,7 +119,7 @@ def transform(docs: DataFrame, recipe: Recipe = Recipe(), key: str = "doc_id", t
     """
     if recipe.unit not in UNITS:
         raise ValueError(f"unit must be one of {', '.join(UNITS)}")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row")
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("body")
     given = docs.select(row, body, *[h.alias(f"h{i}") for i, h in enumerate(_draws(F.col(f"`{key}`"), recipe.seed))])
     schema = f"row {given.schema['row'].dataType.simpleString()}, {_OUT}"

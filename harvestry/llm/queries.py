@@ -81,7 +81,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = fill_middle.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = fill_middle.transform(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     sha = lambda text: F.sha2(text.cast("binary"), 256)
     back = fill_middle.restored(F.col("output"), F.col("form"))
     return out.select(
