@@ -53,8 +53,8 @@ def main(argv: list[str] | None = None) -> dict:
     inputs = build.Inputs(docs, lists, saved, details, fetcher)
     out = build.run(spark, sources, inputs, a.catalog, a.docs, a.base_url, datetime.now(timezone.utc).replace(tzinfo=None), a.backfill, a.bundles, a.only)
     if a.json:
-        state = build.Snapshots(spark, f"{a.catalog}/catalog", build.CATALOG, ("source",)), build.Snapshots(spark, f"{a.catalog}/failures", build.FAILURES)
-        tables.write_document(tables.catalog_lines(state[0].read(), state[1].read(), datetime.now(timezone.utc)), a.json)
+        store = build.Store(spark, a.catalog)
+        tables.write_document(tables.catalog_lines(store.read("catalog"), store.read("failures"), datetime.now(timezone.utc)), a.json)
     print(out)
     return out
 

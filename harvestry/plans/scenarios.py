@@ -19,7 +19,7 @@ from harvestry.operators import captions, ranking, state
 from harvestry.plans import build
 from harvestry.plans.queries import _cards, _ntz, _t, _ts
 from harvestry.scratch import new_folder
-from harvestry.sinks import render, tables
+from harvestry.sinks import render, store, tables
 from harvestry.sources import fetch, pages, roster, saved_items, seeds, xml_feeds
 from harvestry.sources.schemas import CATALOG, DOCUMENTS, FAILURES, conform
 
@@ -385,7 +385,7 @@ def _three_runs(spark, d) -> tuple[list[dict], DataFrame, str]:
     sources, inputs = roster.roster_table(spark, roster.parse_roster(ROSTER)), _build_inputs(spark, d)
     folder, docs = new_folder(spark, "state"), new_folder(spark, "docs")
     found = [build.run(spark, sources, inputs, folder, docs, "https://o.example.com", NOW, make_bundles=i == 2, only=["posts"] if i == 2 else None) for i in range(3)]
-    return found, tables.Snapshots(spark, f"{folder}/catalog", CATALOG, ("source",)).read(), docs
+    return found, store.Store(spark, folder).read("catalog"), docs
 
 
 def build_counts(spark, d):

@@ -47,9 +47,9 @@ def test_two_runs(spark, tmp_path):
     counts = first.pop("sources")
     assert first == {"added": 5, "total": 5, "bundles": {"web": 2, "posts": 2, "mine": 1}}
     assert counts["web"] == {"discovered": 5, "new": 5, "processing": 3, "added": 2} and counts["drinks"]["discovered"] == 0 and list(counts) == ["web", "posts", "mine", "drinks"]
-    from harvestry.sinks.tables import Snapshots
+    from harvestry.sinks.store import Store
 
-    catalog = {r.title: r for r in Snapshots(spark, f"file://{tmp_path}/state/catalog", partition_by=("source",)).read().collect()}
+    catalog = {r.title: r for r in Store(spark, f"file://{tmp_path}/state").read("catalog").collect()}
     assert sorted(catalog) == ["Bean Soup", "Kept", "Only words", "R 3", "R 5"]
     assert str(catalog["R 5"].published_at) == "2024-06-01 00:00:00" and str(catalog["R 3"].published_at) == "2025-01-03 00:00:00"
     assert catalog["R 5"].page_url == "https://e.org/r/5" and all(r.in_feed for r in catalog.values())
