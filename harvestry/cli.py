@@ -20,7 +20,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--base-url", default=os.environ.get("BASE_URL", "http://localhost:8000"), help="where the output folder will be served")
     p.add_argument("--sources", default="sources.yaml", help="the roster")
     p.add_argument("--documents", help="Parquet of fetched documents: url, kind, body, bytes, ok")
-    p.add_argument("--fetch", help="folder of documents that grows: what is asked for and not there yet is got from the web and kept")
+    p.add_argument("--fetch", help="folder of a store of documents: what is asked for and not there yet is got from the web and kept")
     p.add_argument("--saved", help="folder with the pages of a listing of saved items, and their details in details/{id}.json")
     p.add_argument("--docs", default="docs", help="output folder")
     p.add_argument("--catalog", default="state", help="folder of the catalog and the failures")
@@ -47,9 +47,8 @@ def main(argv: list[str] | None = None) -> dict:
         listed = saved_items.listing(spark, a.saved, widest)
         saved = listed.select(F.explode(F.array(*map(F.lit, named))).alias("source"), "ord", "i")
         details = saved_items.detail_files(spark, f"{a.saved}/details")
-    delay = max([r["request_delay_seconds"] for r in rows], default=2.0)
-    agent = next((r["user_agent"] for r in rows if r["user_agent"]), fetch.USER_AGENT)
-    fetcher = fetch.Fetcher(spark, a.fetch, fetch.web_client(agent), delay) if a.fetch else None
+    settings = sources.select(F.col("name").alias("source"), F.col("request_delay_seconds").alias("delay"), F.nullif("user_agent", F.lit("")).alias("agent"))
+    fetcher = fetch.Fetcher(spark, a.fetch, settings=settings, as_agent=fetch.web_client) if a.fetch else None
     inputs = build.Inputs(docs, lists, saved, details, fetcher)
     out = build.run(spark, sources, inputs, a.catalog, a.docs, a.base_url, datetime.now(timezone.utc).replace(tzinfo=None), a.backfill, a.bundles, a.only)
     if a.json:

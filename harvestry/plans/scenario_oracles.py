@@ -118,6 +118,9 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN a.source = 'posts' THEN 'Poster' ELSE '' END AS author, CASE WHEN a.source = 'fed' THEN TIMESTAMP '2024-01-02 10:00:00' WHEN a.source = 'web' AND item % 3 = 0 THEN TIMESTAMP '2023-05-06' WHEN a.source = 'web' AND item % 4 > 0 THEN TIMESTAMP '2024-01-01' + to_days((item % 28)::INT) END AS published_at,
             a.source = 'posts' AS hosted, a.source = 'posts' AND item % 2 = 0 AS has_image, true AS image_agrees, CASE WHEN a.source <> 'posts' THEN 'x' WHEN item % 3 = 0 THEN 'salt' ELSE '' END AS ingredients
             FROM a LEFT JOIN part ON a.source = 'web' AND p_partkey = item LEFT JOIN customer ON a.source = 'posts' AND c_custkey = item LEFT JOIN supplier ON a.source IN ('fed', 'listed') AND s_suppkey = item WHERE ok AND a.source <> 'kept'""",
+        "build_resumed": """WITH c AS (SELECT 'nation-' || c_nationkey AS source, c_custkey AS k, c_custkey % 11 <> 5 AS ok FROM customer),
+            x AS (SELECT source, unnest(['pages', 'items']) AS kind FROM c WHERE ok UNION ALL SELECT source, 'images' FROM c WHERE ok AND k % 2 = 0
+            UNION ALL SELECT source, 'failures' FROM c WHERE NOT ok UNION ALL SELECT DISTINCT source, 'feeds' FROM c WHERE ok) SELECT source, kind, count(*) AS n FROM x GROUP BY ALL""",
         "build_files": f"""WITH {_RUNS}, g AS (SELECT * FROM a WHERE ok) SELECT 'pages' AS kind, count(*) AS files FROM g WHERE source IN ('posts', 'kept') UNION ALL SELECT 'images', count(*) FROM g WHERE source = 'posts' AND item % 2 = 0
             UNION ALL SELECT DISTINCT 'feeds/' || source || '.xml', 1 FROM g UNION ALL SELECT DISTINCT 'bundles/' || source || '.zip', 1 FROM g UNION ALL SELECT unnest(['feed.xml', 'recipes.xml', 'cocktails.xml', 'index.html']), 1""",
     }

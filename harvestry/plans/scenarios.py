@@ -412,6 +412,38 @@ def build_files(spark, d):
     return files.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("files"))
 
 
+class _Stopped(Exception):
+    pass
+
+
+def build_resumed(spark, d):
+    """What a build of a seed list a nation leaves that was stopped three times: before its commit, before its first file, and before its feeds."""
+    nations = [r[0] for r in _t(spark, d, "nation").select("n_nationkey").orderBy("n_nationkey").collect()]  # the roster
+    text = "defaults: {mode: rehost, discovery: seed_list, max_new_per_run: 1000000}\nsources:\n" + "".join(f"- {{name: nation-{n}}}\n" for n in nations)
+    c = F.col("c_custkey")
+    block = _cat("https://www.instagram.com/p/C", c, "/\nimage: https://i.example.com/", c, "\n\n", F.when(c % 11 != 5, _cat(F.col("c_name"), "\nIngredients\n- salt\nMethod\n1. stir")).otherwise(""))
+    customer = _t(spark, d, "customer")
+    lists = _in_order(customer.withColumn("source", _cat("nation-", F.col("c_nationkey"))), ["source"], ["c_custkey"], block, "\n===\n")
+    pictures = customer.select(_cat("https://i.example.com/", c).alias("url"), F.lit("bytes").alias("kind"), F.lit(None).cast("string").alias("body"), F.unhex(F.when(c % 2 == 0, "FFD8FF00").otherwise("3C68746D")).alias("bytes"), F.lit(True).alias("ok"))
+    sources, folder, docs = roster.roster_table(spark, roster.parse_roster(text)), new_folder(spark, "state"), new_folder(spark, "docs")
+    for stop in ("outbox", "commit", "files", None):
+
+        def after(step: str, stop=stop) -> None:
+            if step == stop:
+                raise _Stopped(step)
+
+        try:
+            build.run(spark, sources, build.Inputs(pictures, lists), folder, docs, "https://o.example.com", NOW, after=after)
+        except _Stopped:
+            continue
+    kept = store.Store(spark, folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(docs).select(F.regexp_extract("path", "/docs/(.*)$", 1).alias("file"))
+    of = F.regexp_extract("file", r"(nation-[0-9]+)[/.]", 1)
+    kind = F.when(F.contains("file", F.lit("/img/")), "images").when(F.startswith("file", F.lit("recipes/")), "pages").otherwise("feeds")
+    parts = [files.select(of.alias("source"), kind.alias("kind")), kept.read("catalog").select("source", F.lit("items").alias("kind")), kept.read("failures").select("source", F.lit("failures").alias("kind"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).filter("source <> ''").groupBy("source", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     v for k, v in list(globals().items()) if callable(v) and getattr(v, "__module__", "") == __name__ and not k.startswith("_") and v.__code__.co_varnames[:2] == ("spark", "d")
 ]

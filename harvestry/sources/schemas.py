@@ -29,6 +29,9 @@ SOURCES = _schema(
 )
 #: What was fetched: stands between the engine and the network.
 DOCUMENTS = _schema("url string, kind string, body string, bytes binary, ok boolean")
+#: The two halves of a store of documents.
+TEXTS = _schema("url string, body string")
+CONTENTS = _schema("url string, bytes binary")
 REFS = _schema("source string, ord bigint, ref string, date_hint timestamp, dedup_key string")
 CATALOG = _schema(
     "seq bigint, dedup_key string, source string, source_url string, page_url string, mode string, category string, saved_via string, title string, text string, author string, "
