@@ -1,9 +1,10 @@
-"""Benchmark decontamination by templates: numbers, names and units become typed placeholders,
+"""Benchmark decontamination by templates: numbers (in digits of any script or in words), names and units become typed placeholders,
 windows of templates are hash-joined, and what stands in the placeholders must agree."""
 
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,18 @@ UNITS = frozenset(
     usd eur gbp dollar dollars cent cents euro euros percent degree degrees kmh mph
     """.split()
 )
-_UNITS = frozenset(u.encode() for u in UNITS)
+# Words for numbers; "second" is a unit.
+NUMBER_WORDS = frozenset(
+    """
+    zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen
+    twenty thirty forty fifty sixty seventy eighty ninety hundred hundreds thousand thousands million millions billion billions dozen dozens
+    first third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth thirteenth fourteenth fifteenth sixteenth seventeenth eighteenth nineteenth
+    twentieth thirtieth fortieth fiftieth sixtieth seventieth eightieth ninetieth hundredth thousandth millionth
+    """.split()
+)
+ORDINAL_ENDS = frozenset((b"st", b"nd", b"rd", b"th"))
+_UNITS, _NUMBER_WORDS = (frozenset(u.encode() for u in words) for words in (UNITS, NUMBER_WORDS))
+_JOINTS = re.compile(rb"[ -]+")
 _KINDS = {k: xxhash.xxh64_intdigest(k) for k in (b"<number>", b"<quantity>", b"<unit>", b"<name>")}
 #: First bytes of numbers and quantities, and last bytes of sentences.
 _STARTS, _ENDS = frozenset(bytes([c]) for c in b"+-$0123456789"), frozenset((b".", b"!", b"?"))
@@ -43,18 +55,47 @@ _NUMBER = re.compile(rb"[+-]?[$]?\d[\d.,:/]*%?")
 _QUANTITY = re.compile(rb"([+-]?[$]?\d[\d.,:/]*)([a-z]+)", re.I)
 
 
+def _ascii_digits(bare: bytes) -> bytes:
+    """bare with the decimal digits of all scripts as 0 to 9."""
+    text = bare.decode("utf-8", "replace")
+    return "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text).encode() if any(c.isdecimal() for c in text) else bare
+
+
+def _says_number(low: bytes) -> bool:
+    """Whether all parts of a word, at hyphens and inner spaces, are words for numbers (or, between them, numbers or `and`)."""
+    parts = _JOINTS.split(low)
+    return parts[-1] in _NUMBER_WORDS and all(p in _NUMBER_WORDS or p == b"and" or _NUMBER.fullmatch(p) for p in parts)
+
+
 class Templates(dict):
-    """Word bytes to a column of hashes (literal, inside a sentence, at its head) and of flags (ends a sentence, has a slot inside, has one at the head)."""
+    """Word bytes to a column of hashes (literal, inside a sentence, at its head) and of flags: ends a sentence, has a slot inside, has one
+    at the head, is a number that may go on, is a word that may go on with one, is the `and` in one."""
 
     def __init__(self):
         super().__init__()
-        self.hashes, self.flags = np.empty((3, MAX_WORDS), np.uint64), np.empty((3, MAX_WORDS), bool)
+        self.hashes, self.flags = np.empty((3, MAX_WORDS), np.uint64), np.empty((6, MAX_WORDS), bool)
+
+    def read(self, text: bytes | None) -> tuple[list[bytes], np.ndarray]:
+        """The words of a text, a number of several words as one, and their columns."""
+        words = text.split() if text else []
+        numbers = self.numbers(words)
+        starts, goes_on, between = self.flags[3:, numbers]
+        joined = np.zeros(len(words), bool)  # with the word before
+        joined[1:] = starts[:-1] & goes_on[1:]
+        if between.any():
+            at = np.flatnonzero(between[1:-1] & starts[:-2] & goes_on[:-2] & goes_on[2:]) + 1
+            joined[at] = joined[at + 1] = True
+        if not joined.any():
+            return words, numbers
+        heads = np.flatnonzero(~joined).tolist()
+        words = [b" ".join(words[a:b]) for a, b in zip(heads, [*heads[1:], len(words)], strict=True)]
+        return words, self.numbers(words)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         if len(self) + len(words) > MAX_WORDS:
             self.clear()  # between texts only: numbers stay valid inside one
         if len(words) > self.hashes.shape[1]:  # a single text with so many words
-            self.hashes, self.flags = np.empty((3, len(words)), np.uint64), np.empty((3, len(words)), bool)
+            self.hashes, self.flags = np.empty((3, 2 * len(words)), np.uint64), np.empty((6, 2 * len(words)), bool)
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
     def __missing__(self, word: bytes) -> int:
@@ -62,12 +103,16 @@ class Templates(dict):
         low = bare.lower()
         lead = bare[:1]
         kind, name = b"", False
+        said = _ascii_digits(bare) if lead >= b"\x80" or not bare.isascii() else bare
         if low in _UNITS:
             kind = b"<unit>"
-        elif lead in _STARTS:
-            if _NUMBER.fullmatch(bare):
+        elif _says_number(low):
+            kind = b"<number>"
+        elif said[:1] in _STARTS:
+            q = _QUANTITY.fullmatch(said)
+            if _NUMBER.fullmatch(said) or (q and q[2].lower() in ORDINAL_ENDS):
                 kind = b"<number>"
-            elif (q := _QUANTITY.fullmatch(bare)) and q[2].lower() in _UNITS:
+            elif q and q[2].lower() in _UNITS:
                 kind = b"<quantity>"
         elif not lead.islower():
             text = bare.decode("utf-8", "replace")
@@ -80,6 +125,9 @@ class Templates(dict):
         flags[0, out] = word.rstrip(b"\"')]}")[-1:] in _ENDS
         flags[1, out] = name or kind != b""
         flags[2, out] = kind != b""
+        flags[3, out] = kind == b"<number>" and word.endswith(bare)
+        flags[4, out] = kind == b"<number>" and word.startswith(bare) and said[:1] not in _STARTS
+        flags[5, out] = word == b"and"
         return out
 
 
@@ -91,19 +139,20 @@ def _rolled(columns: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-def windows(table: Templates, text: bytes | None, widths: list[int], both: bool = False):
-    """For each width: (places, hashes, a function from an index of these to the words in the slots there).
+def windows(table: Templates, text: bytes | None, widths: list[int], both: bool = False, shorter: bool = False):
+    """For each width, or for as many words as there are if these are fewer and shorter is given: (width, places, hashes, a function from an index of these to the words in the slots there).
 
     Whether a window's first word is at the head of a sentence depends on what stands before the
     window, which a copy elsewhere doesn't share. With both, windows whose first word looks like a
     name come a second time, with that word read the other way.
     """
-    words = text.split() if text else []
+    words, numbers = table.read(text)
     if not words:
         return
-    numbers = table.numbers(words)
+    if shorter:
+        widths = [min(w, len(words)) for w in widths]
     literal, inside, head = table.hashes[:, numbers]
-    ends, slot_in, slot_head = table.flags[:, numbers]
+    ends, slot_in, slot_head = table.flags[:3, numbers]
     first = np.concatenate([[True], ends[:-1]])
     template, slot = np.where(first, head, inside), np.where(first, slot_head, slot_in)
     before = np.concatenate([[0], np.cumsum(~slot)])
@@ -171,9 +220,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
         for batch in batches:
             rows = []
             for item, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = body.as_py()
-                width = min(window, len(raw.split()))
-                for _, _, hashes, slots in windows(table, raw, [width] if width else []):
+                for width, _, hashes, slots in windows(table, body.as_py(), [window], shorter=True):
                     rows += [(item, width, len(hashes), i, h, slots(i)) for i, h in enumerate(hashes.tolist())]
             if rows:
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string())]

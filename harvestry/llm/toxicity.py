@@ -1,40 +1,99 @@
-"""Toxicity by non-negative positive-unlabelled learning on word presence."""
+"""Toxicity by non-negative positive-unlabelled learning on words and on how often words begin alike."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.llm.samples import agreed, bounded, fold, sample_texts
+from harvestry.llm.samples import MAX_SAMPLE_BYTES, agreed, bounded, fold, sample_texts
 from harvestry.llm.workers import map_batches
 
 #: At most so many confirmed and unlabelled documents are learned from.
 MAX_POSITIVE, MAX_UNLABELLED = 3000, 7000
-#: Words in fewer sampled documents than this are no features.
+#: Words in fewer sampled documents than this are no features of nn_pu() by itself.
 MIN_DOCS = 5
+#: Beginnings of words, in code points, and the shares of a text's distinct words that begin so which count.
+BEGINNINGS, SHARES, LEAST_ALIKE = (5, 6, 7, 8), (0.01, 0.03, 0.08), 2
+#: A feature is learned from if so many confirmed documents have it, and this share of them, so many standard errors above that of the unlabelled.
+LEAST_DOCS, LEAST_SHARE, LEAST_ERRORS = 3, 0.02, 3.5
 
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 
 
 def word_set(text: bytes | None) -> set[bytes]:
-    """Distinct words of a text: A-Z in lower case, ASCII marks and spaces between words."""
-    return set(text.translate(_PLAIN).split()) if text else set()
+    """Distinct words of a text in lower case, ASCII marks and spaces between words."""
+    if not text:
+        return set()
+    if not text.isascii():
+        text = text.decode("utf-8", "ignore").lower().encode()
+    return set(text.translate(_PLAIN).split())
+
+
+def features(text: bytes | None, wanted: set[bytes] | None = None) -> set[bytes]:
+    """The words of a text, and a feature for each share that the words with one beginning make up of them.
+
+    Insults differ from text to text in their endings; where enough of a text's words begin alike,
+    the beginning says more than any of them. wanted are the only beginnings to look at, if given.
+    """
+    out = word_set(text)
+    alike: Counter[bytes] = Counter()
+    for word in out:
+        whole = word if word.isascii() else word.decode("utf-8", "ignore")
+        for n in BEGINNINGS:
+            if len(whole) <= n:
+                break
+            start = whole[:n] if whole is word else whole[:n].encode()
+            if wanted is None or start in wanted:
+                alike[start] += 1
+    total = len(out)
+    for start, n in alike.items():
+        if n >= LEAST_ALIKE:
+            out.update(b"%s~%d" % (start, i) for i, share in enumerate(SHARES) if n >= share * total)
+    return out
+
+
+def telling(positives: Iterable[set[bytes]], unlabelled: Iterable[set[bytes]]) -> list[bytes]:
+    """The features that confirmed documents have far more often than unlabelled ones, in order."""
+    sums, sizes = [], []
+    for group in (positives, unlabelled):
+        have: Counter[bytes] = Counter()
+        size = 0
+        for found in group:
+            # of the unlabelled only what may be chosen is counted
+            have.update(found if not sums else found & sums[0].keys())
+            size += 1
+        if not sums:
+            have = Counter({w: n for w, n in have.items() if n >= max(LEAST_DOCS, LEAST_SHARE * size)})
+        sums.append(have)
+        sizes.append(size)
+    (inside, around), (n_p, n_u) = sums, sizes
+    out = []
+    for word, n in inside.items():
+        share = (around[word] + 1) / (n_u + 2)
+        if n / n_p - share >= LEAST_ERRORS * (share * (1 / n_p + 1 / max(n_u, 1))) ** 0.5:
+            out.append(word)
+    return sorted(out)
 
 
 @dataclass
 class WordModel:
-    """score = 1 / (1 + exp(-(bias + sum of the weights of the words present)))."""
+    """score = 1 / (1 + exp(-(bias + sum of the weights of the features present)))."""
 
     bias: float
     weights: dict[bytes, float]
+    beginnings: set[bytes] = field(init=False)
+
+    def __post_init__(self):
+        self.beginnings = {w.rpartition(b"~")[0] for w in self.weights if b"~" in w}
 
     def score(self, text: bytes | None) -> float:
-        have = self.weights.keys() & word_set(text)
+        have = self.weights.keys() & features(text, self.beginnings)
         z = self.bias + sum(sorted(map(self.weights.__getitem__, have)))
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
@@ -94,12 +153,15 @@ def nn_pu(positives: Iterable[Iterable[bytes]], unlabelled: Iterable[Iterable[by
     return WordModel(float(b), {x: float(y) for x, y in zip(vocabulary, w * scale, strict=True) if abs(y) >= 1e-3})
 
 
-def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, folds: int = 5) -> WordModel:
+def train(
+    docs: DataFrame, labels: DataFrame, prior: float | None = None, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, folds: int = 5, max_bytes: int = MAX_SAMPLE_BYTES
+) -> WordModel:
     """A model from rows whose fold isn't 0: confirmed toxic documents, and texts without their labels.
 
     prior is the share of toxic documents; without one, that among labelled training rows. The
-    samples are bounded in documents and bytes. Null ids, texts and labels, and ids with both
-    labels, are left out; no toxic row at all gives a model that scores everything near 0.
+    samples are bounded in documents and, together, in bytes of text: in the order of a hash of the
+    id, a text that would go beyond max_bytes is left out. Null ids, texts and labels, and ids with
+    both labels, are left out; no toxic row at all gives a model that scores everything near 0.
     """
     known = agreed(labels.filter(fold(F.col("doc_id"), folds) > 0), "toxic")
     if prior is None:
@@ -108,14 +170,14 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, max_po
     confirmed = bounded(known.filter("y = 1").select("sid"), max_positive).withColumn("kind", F.lit(1))
     others = bounded(docs.select(F.col("doc_id").alias("sid")).filter(fold(F.col("doc_id"), folds) > 0).distinct(), max_unlabelled).withColumn("kind", F.lit(0))
     # both sides have at most max_positive + max_unlabelled rows
-    found = sample_texts(docs, confirmed.unionByName(others))
-    sets: dict[int, list[bytes]] = {0: [], 1: []}
-    for kind, body in zip(found.column("kind").to_pylist(), found.column("body"), strict=True):
-        sets[kind].append(b"\n".join(sorted(word_set(body.as_py()))))
-    del found
+    found = sample_texts(docs, confirmed.unionByName(others), max_bytes)
+    kinds, bodies = found.column("kind").to_pylist(), found.column("body")
+    of = lambda kind, wanted=None: (features(body.as_py(), wanted) for k, body in zip(kinds, bodies, strict=True) if k == kind)
+    chosen = telling(of(1), of(0))
+    starts = WordModel(0.0, dict.fromkeys(chosen, 0.0)).beginnings
     # one order for every run; texts that repeat each other fall together, whichever came first
-    distinct = lambda part: (x.split(b"\n") if x else () for x in sorted(part))
-    return nn_pu(distinct(sets[1]), distinct(sets[0]), prior)
+    rows = lambda kind: sorted(sorted(x.intersection(chosen)) for x in of(kind, starts))
+    return nn_pu(rows(1), rows(0), prior, l1=5e-4, min_docs=1)
 
 
 def score(docs: DataFrame, model: WordModel, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -174,7 +175,8 @@ def test_templates(spark, table, prose, odd):
         *odd,
     ]
     found = hits(spark, table, rows)
-    assert found == {10: [1], 11: [1], 13: [2], 16: [5]} | {17: found.get(17)}
+    # the copy in capitals differs at the name only
+    assert found == {10: [1], 11: [1], 13: [2], 16: [5], 17: [1]}
     assert hits(spark, table, []) == {}
 
 
@@ -217,6 +219,96 @@ def test_windows_in_conflict_take_no_others(spark, table, prose):
     assert found[1][1] == pytest.approx((n - 6) / n) and found[2][1] == pytest.approx((n - 12) / n)
 
 
+def test_numbers_in_words_and_other_digits(spark, table, prose):
+    text = "Tom has {} red apples and {} green pears. He eats {} apples, buys {} pears and sells {}."
+    items = spark.createDataFrame(
+        [(1, text.format("five", "three", "two", "six", "one")), (2, "the bus with 12 seats took 34 days to reach the 3rd town near the lake by night"), (3, "they paid two hundred and five coins for twenty-one old maps of the northern sea")],
+        "item_id bigint, text string",
+    )
+    rows = [
+        (1, prose(60, 30) + ". " + text.format("nine", "eight", "four", "ten", "three")),
+        (2, text.format(9, 8, 4, 10, 3)),
+        (3, text.format("９", "８", "４", "１０", "３")),
+        (4, "the bus with ١٢ seats took ٣٤ days to reach the fourth town near the lake by night"),
+        (5, "they paid ninety coins for 17 old maps of the northern sea"),
+        (6, "they paid 3 million coins for thirty-two old maps of the northern sea"),
+        (7, prose(61, 60)),
+        (8, text.format("nine", "eight", "nine", "eight", "nine")),
+    ]
+    found = {r.id: (r["items"], r.coverage) for r in decontamination.contaminated(table(rows), items).collect()}
+    assert {i: x for i, (x, _) in found.items() if i != 8} == {1: [1], 2: [1], 3: [1], 4: [2], 5: [3], 6: [3]}
+    assert all(found[i][1] == 1.0 for i in range(1, 7)) and found.get(8, (0, 0.0))[1] < 1.0
+
+
+def plain_contaminated(rows, items, width=6, least=0.4):
+    """All items that documents of words without capitals hold, by comparing all windows of all pairs."""
+    number = re.compile(r"\d+|two|three|four")
+
+    def read(text):
+        return text.split() if text else []
+
+    def template(words):
+        kinds = ["#" if number.fullmatch(w) else w for w in words]
+        return tuple(words) if sum(k != "#" for k in kinds) < min(2, len(words)) else tuple(kinds)
+
+    out = {}
+    for doc, text in rows:
+        d = read(text)
+        for item, body in items:
+            q = read(body)
+            w = min(width, len(q))
+            if not w:
+                continue
+            n, places = len(q) - w + 1, set()
+            for shift in range(-n, len(d)):
+                met = {}
+                for i in range(n):
+                    a, b = q[i : i + w], d[i + shift : i + shift + w] if i + shift >= 0 else []
+                    if template(a) == template(b):
+                        exact = template(a) == tuple(a) and sum(bool(number.fullmatch(x)) for x in a) > len(a) - min(2, len(a))
+                        met[i] = set() if exact else {(x, y) for x, y in zip(a, b) if number.fullmatch(x)}
+                pairs = set().union(*met.values()) if met else set()
+                good = pairs
+                if len({x for x, _ in pairs}) < len(pairs) or len({y for _, y in pairs}) < len(pairs):
+                    shows = {p: sum(p in m for m in met.values()) for p in pairs}
+                    asked = {p: sum(any(x == p[0] for x, _ in m) for m in met.values()) for p in pairs}
+                    good = {p for p in pairs if 2 * shows[p] > asked[p] or p[0] == p[1]}
+                    rank = lambda p: (shows[p], p[0] == p[1], *p)  # noqa: B023, E731
+                    good = {p for p in good if not any((p[0] == r[0] or p[1] == r[1]) and rank(r) > rank(p) for r in good)}
+                places |= {i for i, m in met.items() if m <= good}
+            if places and len(places) / n >= least:
+                out.setdefault(doc, []).append((item, len(places) / n))
+    return {doc: (sorted(i for i, _ in found), max(c for _, c in found)) for doc, found in out.items()}
+
+
+def test_contaminated_against_all_pairs_of_windows(spark, table):
+    r = random.Random(12)
+    words = "sun river stone green walk tree bird".split()
+    numbers = ["1", "2", "3", "17", "two", "three", "four"]
+
+    def text(n):
+        # a word after a number in words, so that no two make one
+        return " ".join(x for _ in range(n) for x in ([r.choice(numbers), r.choice(words)] if r.random() < 0.35 else [r.choice(words)]))
+
+    items = [(i, text(r.choice([2, 5, 9, 14]))) for i in range(25)] + [(90, None), (91, "")]
+    rows = []
+    for i in range(120):
+        q = r.choice(items[:25])[1].split()
+        swap = {x: r.choice(numbers) for x in numbers}
+        how = r.random()
+        q = [swap[w] if w in swap and how < 0.5 else r.choice(numbers) if w in swap and how < 0.7 and r.random() < 0.4 else w for w in q]
+        a, b = sorted((r.randrange(len(q) + 1), r.randrange(len(q) + 1))) if r.random() < 0.3 else (0, len(q))
+        rows.append((i, " ".join([text(4), *q[a:b], text(5)])))
+    got = decontamination.contaminated(table(rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    want = plain_contaminated(rows, items)
+    assert len(want) > 40 and {x.id: (x["items"], pytest.approx(x.coverage)) for x in got} == want
+
+
+def test_decontaminates_a_very_long_text(spark, table, prose):
+    long = prose(70, 60_000) + " " + ITEMS[0][1] + " " + prose(71, 60_000)
+    assert hits(spark, table, [(1, long), (2, prose(72, 60_000))]) == {1: [1]}
+
+
 def test_decontaminate_keeps_rows(spark, table, odd):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     docs = table([*odd, (50, ITEMS[0][1]), (None, ITEMS[0][1])])

@@ -194,3 +194,44 @@ def test_hashes_of_tokens_are_those_of_their_words():
         assert np.array_equal(hashing.Hasher().tokens(column)[0], hashes)
     assert np.array_equal(np.concatenate([hashing.Hasher().tokens(pa.array([t], pa.binary()))[0] for t in texts]), hashes)
     assert [len(x) for x in hasher.tokens(pa.array([], pa.binary()))] == [0, 0]
+
+
+def test_features_of_a_text():
+    words = toxicity.word_set("Réeux RÉEUXA réeuxb! the, the".encode())
+    assert words == {w.encode() for w in ("réeux", "réeuxa", "réeuxb", "the")}
+    got = toxicity.features("réeuxa réeuxb x y".encode())
+    # two of four words begin alike: all shares are reached, by the one beginning they have in common
+    assert got - words >= {"réeux~0".encode(), "réeux~1".encode(), "réeux~2".encode()} and not any(b"~" in w and not w.startswith("réeux".encode()) for w in got)
+    assert toxicity.features(b"worda wordb " + b" ".join(b"z%d" % i for i in range(98))) >= {b"z1", b"worda"} and b"worda~0" not in toxicity.features(b"worda wordb")
+    long = b"wordya wordyb " + b" ".join(b"z%d" % i for i in range(98))
+    assert {w for w in toxicity.features(long) if b"~" in w} == {b"wordy~0"}
+    assert toxicity.features(long, set()) == toxicity.word_set(long) and toxicity.features(None) == toxicity.features(b" ") == set()
+
+
+def test_telling_features_against_plain_counts():
+    r = random.Random(3)
+    pos = [{b"w%d" % r.randrange(40) for _ in range(6)} | ({b"foul"} if r.random() < 0.5 else set()) for _ in range(60)]
+    unl = [{b"w%d" % r.randrange(40) for _ in range(6)} | ({b"foul"} if r.random() < 0.05 else set()) for _ in range(400)]
+    want = []
+    for w in sorted(set().union(*pos)):
+        n, share = sum(w in x for x in pos), (sum(w in x for x in unl) + 1) / 402
+        if n >= 3 and n / 60 - share >= 3.5 * (share * (1 / 60 + 1 / 400)) ** 0.5:
+            want.append(w)
+    assert toxicity.telling(iter(pos), iter(unl)) == want and b"foul" in want
+    assert toxicity.telling(iter([]), iter(unl)) == [] == toxicity.telling(iter([set()]), iter([]))
+
+
+def test_toxicity_by_beginnings_of_words(spark, table):
+    """Toxic texts whose words only begin alike, with endings of their own."""
+    r = random.Random(8)
+    rows, labels = [], []
+    for i in range(700):
+        toxic = i % 7 == 0
+        words = [f"{r.choice(['cloud', 'stone', 'green'])}{r.randrange(10**6)}" for _ in range(60)]
+        if toxic:
+            words[::6] = [f"grobi{r.choice('abcdefgh')}{r.randrange(10**6)}" for _ in words[::6]]
+        rows.append((i, " ".join(words)))
+        if i % 2:
+            labels.append((i, 1, int(toxic)))
+    model = toxicity.train(table(rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    assert model.beginnings and all((model.score(t.encode()) >= 0.5) == (i % 7 == 0) for i, t in rows if crc(i) % 5 == 0)
