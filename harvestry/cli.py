@@ -21,7 +21,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sources", default="sources.yaml", help="the roster")
     p.add_argument("--documents", help="Parquet of fetched documents: url, kind, body, bytes, ok")
     p.add_argument("--fetch", help="folder of a store of documents: what is asked for and not there yet is got from the web and kept")
-    p.add_argument("--saved", help="folder with the pages of a listing of saved items, and their details in details/{id}.json")
+    p.add_argument("--saved", help="folder with the pages of a listing of saved items, and their details in details/{id}.json; a source's own url, or SAVED_ITEMS_URL, with SAVED_ITEMS_TOKEN, is asked instead")
     p.add_argument("--docs", default="docs", help="output folder")
     p.add_argument("--catalog", default="state", help="folder of the catalog and the failures")
     p.add_argument("--json", help="write the catalog as one JSON document here")
@@ -40,13 +40,14 @@ def main(argv: list[str] | None = None) -> dict:
     base = os.path.dirname(os.path.abspath(a.sources))
     lists = seeds.read_seeds(spark, [(r["name"], os.path.join(base, r["seed_file"])) for r in rows if r["discovery"] == "seed_list" and r["seed_file"]])
     saved = details = None
-    named = [r["name"] for r in rows if r["discovery"] == "saved_items"]
-    if named and a.saved:
-        # as far as the widest window of these sources looks; the build cuts each to its own
-        widest = roster.with_limits(sources.filter(F.col("name").isin(named)), a.backfill).agg(F.max("window")).first()[0]
-        listed = saved_items.listing(spark, a.saved, widest)
-        saved = listed.select(F.explode(F.array(*map(F.lit, named))).alias("source"), "ord", "i")
-        details = saved_items.detail_files(spark, f"{a.saved}/details")
+    if any(r["discovery"] == "saved_items" for r in rows):
+        token = os.environ.get("SAVED_ITEMS_TOKEN", "")
+        windows = {r["name"]: r["window"] for r in roster.with_limits(sources, a.backfill).collect()}  # a row a source
+        where = lambda r: r["url"] or os.environ.get("SAVED_ITEMS_URL") or a.saved or ""
+        places = [saved_items.Place(r["name"], where(r), windows[r["name"]] or 1 << 30) for r in rows if r["discovery"] == "saved_items"]
+        saved = saved_items.listings(spark, places, token).select("source", "ord", "i")
+        files = sorted({p.address for p in places if p.address and not p.address.startswith("http")})
+        details = saved_items.live_details(places, token) if not files else saved_items.detail_files(spark, f"{files[0]}/details")
     settings = sources.select(F.col("name").alias("source"), F.col("request_delay_seconds").alias("delay"), F.nullif("user_agent", F.lit("")).alias("agent"))
     fetcher = fetch.Fetcher(spark, a.fetch, settings=settings, as_agent=fetch.web_client) if a.fetch else None
     inputs = build.Inputs(docs, lists, saved, details, fetcher)
