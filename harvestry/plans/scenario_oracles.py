@@ -114,10 +114,10 @@ def oracle_sql() -> dict[str, str]:
             r AS (SELECT s.*, run, greatest(shown - run * cap, 0) AS new FROM s, (VALUES (0), (1), (2)) v(run) WHERE run < 2 OR source = 'posts'),
             d AS (SELECT r.*, (SELECT count(*) FROM a WHERE a.source = r.source AND a.run = r.run AND ok) AS added FROM r), t AS (SELECT run, sum(sum(added)) OVER (ORDER BY run) AS total FROM d GROUP BY run)
             SELECT run::BIGINT AS run, source, shown AS discovered, new, least(new, cap) AS processing, added, total::BIGINT AS total FROM d JOIN t USING (run)""",
-        "build_catalog": f"""WITH {_RUNS} SELECT a.source, item, coalesce(p_name, c_name, s_name) AS title, CASE WHEN a.source = 'posts' THEN 'rehost' ELSE 'link_through' END AS mode, CASE WHEN a.source = 'listed' THEN 'cocktail' ELSE 'recipe' END AS category,
-            CASE WHEN a.source = 'posts' THEN 'Poster' ELSE '' END AS author, CASE WHEN a.source = 'fed' THEN TIMESTAMP '2024-01-02 10:00:00' WHEN a.source = 'web' AND item % 3 = 0 THEN TIMESTAMP '2023-05-06' WHEN a.source = 'web' AND item % 4 > 0 THEN TIMESTAMP '2024-01-01' + to_days((item % 28)::INT) END AS published_at,
-            a.source = 'posts' AS hosted, a.source = 'posts' AND item % 2 = 0 AS has_image, true AS image_agrees, CASE WHEN a.source <> 'posts' THEN 'x' WHEN item % 3 = 0 THEN 'salt' ELSE '' END AS ingredients
-            FROM a LEFT JOIN part ON a.source = 'web' AND p_partkey = item LEFT JOIN customer ON a.source = 'posts' AND c_custkey = item LEFT JOIN supplier ON a.source IN ('fed', 'listed') AND s_suppkey = item WHERE ok AND a.source <> 'kept'""",
+        "build_catalog": f"""WITH {_RUNS} SELECT a.source, item, coalesce(p_name, c_name, s_name) AS title, CASE WHEN a.source IN ('posts', 'kept') THEN 'rehost' ELSE 'link_through' END AS mode, CASE WHEN a.source = 'listed' THEN 'cocktail' ELSE 'recipe' END AS category,
+            CASE WHEN a.source = 'posts' THEN 'Poster' ELSE '' END AS author, CASE WHEN a.source = 'fed' THEN TIMESTAMP '2024-01-02 10:00:00' WHEN a.source = 'kept' THEN TIMESTAMP '2024-01-05' WHEN a.source = 'web' AND item % 3 = 0 THEN TIMESTAMP '2023-05-06' WHEN a.source = 'web' AND item % 4 > 0 THEN TIMESTAMP '2024-01-01' + to_days((item % 28)::INT) END AS published_at,
+            a.source = 'posts' AS hosted, a.source = 'posts' AND item % 2 = 0 AS has_image, true AS image_agrees, CASE WHEN a.source = 'kept' THEN '' WHEN a.source <> 'posts' THEN 'x' WHEN item % 3 = 0 THEN 'salt' ELSE '' END AS ingredients
+            FROM a LEFT JOIN part ON a.source = 'web' AND p_partkey = item LEFT JOIN customer ON a.source = 'posts' AND c_custkey = item LEFT JOIN supplier ON a.source IN ('fed', 'listed', 'kept') AND s_suppkey = item WHERE ok""",
         "build_resumed": """WITH c AS (SELECT 'nation-' || c_nationkey AS source, c_custkey AS k, c_custkey % 11 <> 5 AS ok FROM customer),
             x AS (SELECT source, unnest(['pages', 'items']) AS kind FROM c WHERE ok UNION ALL SELECT source, 'images' FROM c WHERE ok AND k % 2 = 0
             UNION ALL SELECT source, 'failures' FROM c WHERE NOT ok UNION ALL SELECT DISTINCT source, 'feeds' FROM c WHERE ok) SELECT source, kind, count(*) AS n FROM x GROUP BY ALL""",

@@ -398,7 +398,7 @@ def build_catalog(spark, d):
     _, catalog, _ = _three_runs(spark, d)
     number = F.coalesce(F.nullif(F.regexp_extract("source_url", "([0-9]+)$", 1), F.lit("")), F.regexp_extract("title", "([0-9]+)$", 1), F.lit("")).try_cast("bigint")
     item = F.when(F.col("source") == "posts", F.regexp_extract("source_url", "/C([0-9]+)", 1).cast("bigint")).otherwise(number)
-    return catalog.filter("source <> 'kept'").select(
+    return catalog.select(
         "source", item.alias("item"), "title", "mode", "category", "author", _ntz(F.col("published_at")).alias("published_at"), F.startswith("page_url", F.lit("https://o.example.com/recipes/posts/")).alias("hosted"),
         (F.col("local_image") != "").alias("has_image"), (F.col("image_url") == F.when(F.col("local_image") == "", "").otherwise(_cat("https://o.example.com/", F.col("local_image")))).alias("image_agrees"), "ingredients",
     )
