@@ -161,6 +161,34 @@ def test_bundle_names_probe(spark):
     assert [r.file for r in got] == ["same.json", "same-2.json", "same-3.json", "same-4.json", "other.json", "same-2-2.json", "same.json"]
 
 
+def test_bundle_names_against_one_row_after_the_other(spark):
+    import random
+
+    from harvestry.sinks import render
+
+    r = random.Random(9)
+    rows = []
+    for source in range(60):
+        pool = r.sample(["a", "a 2", "a 3", "a 2 2", "a 2 3", "a 4", "a 02", "a 1", "b", "b 2", "a 3 2", "a 2 2 2", "a 12", "b 3"], r.randrange(1, 9))
+        rows += [(f"s{source}", i, r.choice(pool)) for i in range(r.randrange(1, 40))]
+    want = []
+    for source in sorted({s for s, _, _ in rows}):
+        taken, upto = set(), {}
+        for s, seq, title in sorted(x for x in rows if x[0] == source):
+            own = title.replace(" ", "-")
+            n, out = upto.get(own, 1), own
+            while out in taken:
+                n += 1
+                out = f"{own}-{n}"
+            upto[own] = n
+            taken.add(out)
+            want.append((s, seq, f"{out}.json"))
+    got = render.bundle_names(spark.createDataFrame(rows, "source string, seq bigint, title string").repartition(3))
+    assert sorted((x.source, x.seq, x.file) for x in got.collect()) == sorted(want)
+    plan = got._jdf.queryExecution().toString()
+    assert "FlatMapGroups" not in plan
+
+
 def test_stream_replays_nothing(spark, tmp_path):
     from pyspark.sql import functions as F
 
