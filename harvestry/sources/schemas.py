@@ -41,6 +41,9 @@ CATALOG = _schema(
 )
 FAILURES = _schema("dedup_key string, source string, source_url string, attempts int, last_attempt timestamp, next_retry timestamp")
 
+#: The lists of feeds that a build keeps: whole rows of the catalog.
+TOPS = T.StructType([*_schema("feed string, rank int, cut boolean"), *CATALOG])
+
 MODES = ("link_through", "rehost")
 DISCOVERIES = ("sitemap", "native_feed", "index_page", "chef_page", "seed_list", "saved_items")
 CATEGORIES = ("recipe", "cocktail")

@@ -96,3 +96,32 @@ def test_mark_in_feed(spark):
     keys = spark.createDataFrame([("a",), ("a",)], "dedup_key string")
     got = state.mark_in_feed(conform(rows(spark, recipe("a"), recipe("b", in_feed=True))), keys).collect()
     assert {r.dedup_key: r.in_feed for r in got} == {"a": True, "b": False}
+
+
+def test_kept_lists_follow_the_catalog(spark):
+    import random
+
+    from harvestry.scratch import materialise
+    from harvestry.sinks.store import overlay
+
+    r = random.Random(5)
+    sources = spark.createDataFrame([("s", 0, "recipe", True), ("z", 1, "cocktail", True), ("off", 2, "recipe", False)], "name string, ord int, category string, enabled boolean")
+
+    def some(n, first, days):
+        return conform(rows(spark, *[recipe(f"k{i}", seq=i, published_at=datetime(2024, r.choice(days), 1 + r.randrange(28))) | {"source": "szsz"[i % 4] if i % 9 else "off"} for i in r.sample(range(first, first + n), n)]))
+
+    shows = lambda part: sorted((x.feed, x.rank, x.dedup_key) for x in part.filter(F.col("rank") <= ranking.cap_of(F.col("feed"))).collect())
+    catalog = materialise(some(420, 0, [5, 6]), "c")
+    kept, anew = materialise(ranking.lists(catalog, sources), "k"), 0
+    assert {x.feed: x.n for x in kept.groupBy("feed").agg(F.count(F.lit(1)).alias("n")).collect()}["all"] == 200
+    for step, (n, first, days) in enumerate([(30, 420, [7]), (90, 0, [1, 2]), (160, 100, [1]), (200, 200, [1, 8])]):
+        touched = materialise(some(n, first, days), "t")
+        catalog = materialise(overlay(catalog, touched), "c")
+        merged = materialise(ranking.merged_lists(kept, touched, sources), "m")
+        again = ranking.stale(merged, kept)
+        anew += len(again)
+        full = ranking.lists(catalog, sources)
+        merged = merged.filter(~F.col("feed").isin(again)).unionByName(full.filter(F.col("feed").isin(again)))
+        assert shows(merged) == shows(full), step
+        kept = materialise(merged, "k")
+    assert 0 < anew < 16
