@@ -46,7 +46,7 @@ NUMBER_WORDS = frozenset(
 )
 ORDINAL_ENDS = frozenset((b"st", b"nd", b"rd", b"th"))
 _UNITS, _NUMBER_WORDS = (frozenset(u.encode() for u in words) for words in (UNITS, NUMBER_WORDS))
-_JOINTS = re.compile(rb"[ -]+")
+_JOINTS, _DIGIT = re.compile(rb"[ -]+"), re.compile(r"\d")
 _KINDS = {k: xxhash.xxh64_intdigest(k) for k in (b"<number>", b"<quantity>", b"<unit>", b"<name>")}
 #: First bytes of numbers and quantities, and last bytes of sentences.
 _STARTS, _ENDS = frozenset(bytes([c]) for c in b"+-$0123456789"), frozenset((b".", b"!", b"?"))
@@ -58,11 +58,11 @@ _QUANTITY = re.compile(rb"([+-]?[$]?\d[\d.,:/]*)([a-z]+)", re.I)
 def _ascii_digits(bare: bytes) -> bytes:
     """bare with the decimal digits of all scripts as 0 to 9."""
     text = bare.decode("utf-8", "replace")
-    return "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text).encode() if any(c.isdecimal() for c in text) else bare
+    return _DIGIT.sub(lambda c: str(unicodedata.decimal(c[0])), text).encode() if _DIGIT.search(text) else bare
 
 
 def _says_number(low: bytes) -> bool:
-    """Whether all parts of a word, at hyphens and inner spaces, are words for numbers (or, between them, numbers or `and`)."""
+    """Whether all parts of a number of several words, at hyphens and spaces, are words for numbers (or, between them, numbers or `and`)."""
     parts = _JOINTS.split(low)
     return parts[-1] in _NUMBER_WORDS and all(p in _NUMBER_WORDS or p == b"and" or _NUMBER.fullmatch(p) for p in parts)
 
@@ -79,12 +79,14 @@ class Templates(dict):
         """The words of a text, a number of several words as one, and their columns."""
         words = text.split() if text else []
         numbers = self.numbers(words)
-        starts, goes_on, between = self.flags[3:, numbers]
+        goes_on = self.flags[4, numbers]
+        if not goes_on.any():
+            return words, numbers
+        starts, between = self.flags[3, numbers], self.flags[5, numbers]
         joined = np.zeros(len(words), bool)  # with the word before
         joined[1:] = starts[:-1] & goes_on[1:]
-        if between.any():
-            at = np.flatnonzero(between[1:-1] & starts[:-2] & goes_on[:-2] & goes_on[2:]) + 1
-            joined[at] = joined[at + 1] = True
+        at = np.flatnonzero(between[1:-1] & starts[:-2] & goes_on[:-2] & goes_on[2:]) + 1
+        joined[at] = joined[at + 1] = True
         if not joined.any():
             return words, numbers
         heads = np.flatnonzero(~joined).tolist()
@@ -103,10 +105,11 @@ class Templates(dict):
         low = bare.lower()
         lead = bare[:1]
         kind, name = b"", False
-        said = _ascii_digits(bare) if lead >= b"\x80" or not bare.isascii() else bare
+        # beyond ASCII, decimal digits begin with U+0660, whose first byte is 0xD9
+        said = bare if bare.isascii() or max(bare) < 0xD9 else _ascii_digits(bare)
         if low in _UNITS:
             kind = b"<unit>"
-        elif _says_number(low):
+        elif low in _NUMBER_WORDS or ((b"-" in low or b" " in low) and _says_number(low)):
             kind = b"<number>"
         elif said[:1] in _STARTS:
             q = _QUANTITY.fullmatch(said)

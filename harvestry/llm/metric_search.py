@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestry.llm.vectors import EXACT, chunks, packed, padded, quantised, self_product, unpacked
+from harvestry.llm.vectors import EXACT, chunks, matrix, packed, padded, quantised, self_product, unpacked
 from harvestry.llm.workers import map_batches
 from harvestry.scratch import materialise
 
@@ -260,16 +260,17 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, scale: int = 256, key: st
     answers = None
     for b in range(blocks if size else 0):
         block = reps.filter(F.pmod(F.xxhash64("rep"), F.lit(blocks)) == b).toArrow()  # bounded by block_bytes, whatever the tables
-        ids, wide = block.column("rep").to_pylist(), next((x for _, x in chunks([block.select(["rep", "v"]).combine_chunks().to_batches()[0]], len(block), 1 << 62)), None) if len(block) else None
-        if wide is None:
+        if not block.num_rows:
             continue
+        ids, wide = block.column("rep").to_pylist(), matrix(block.column("v").combine_chunks())
         part = _best(search_trees(forest, ids, wide, k + 1), "rep", k + 1, F.desc("score"), "id")
         part = part.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("low"), "id"))).alias("best"))
         part = materialise(part, "answers")
         answers = part if answers is None else answers.unionByName(part)
     if answers is None:
         return asked.select("query_id", F.lit(1).alias("rank"), F.col("query_id").alias("id"), F.col("query_id").alias("score")).limit(0)
-    met = asked.withColumn("own", F.struct((-self_product(F.col("v"))).alias("low"), F.col("query_id").alias("id"))).join(reps.withColumnRenamed("v", "w"), F.col("v") == F.col("w")).select("query_id", "rep", "own")
+    own = F.struct((-self_product(F.col("v"))).alias("low"), F.col("query_id").alias("id")).alias("own")
+    met = asked.select("query_id", "v", own).join(reps.withColumnRenamed("v", "w"), F.col("v") == F.col("w")).select("query_id", "rep", "own")
     met = met.join(answers.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r"))
     # one row that looks like the query's own goes out; if it isn't among the first k + 1, none does
     at = F.array_position("best", F.col("own"))
