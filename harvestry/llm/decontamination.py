@@ -47,7 +47,11 @@ NUMBER_WORDS = frozenset(
 ORDINAL_ENDS = frozenset((b"st", b"nd", b"rd", b"th"))
 _UNITS, _NUMBER_WORDS = (frozenset(u.encode() for u in words) for words in (UNITS, NUMBER_WORDS))
 _JOINTS, _DIGIT = re.compile(rb"[ -]+"), re.compile(r"\d")
-_KINDS = {k: xxhash.xxh64_intdigest(k) for k in (b"<number>", b"<quantity>", b"<unit>", b"<name>")}
+#: What a word is: none of these, or a placeholder; a name at the head of a sentence is a word.
+_WORD, _NUMBERS, _QUANTITIES, _UNIT, _NAME = range(5)
+_KINDS = np.array([0, *(xxhash.xxh64_intdigest(k) for k in (b"<number>", b"<quantity>", b"<unit>", b"<name>"))], np.uint64)
+#: Beside the kind: the word ends a sentence; it is a number that may go on; it may go on with one; it is the `and` in one.
+_KIND_BITS, _ENDING, _STARTING, _GOING_ON, _BETWEEN = 7, 8, 16, 32, 64
 #: First bytes of numbers and quantities, and last bytes of sentences.
 _STARTS, _ENDS = frozenset(bytes([c]) for c in b"+-$0123456789"), frozenset((b".", b"!", b"?"))
 _EDGE = b" \t\n\r.,;:!?()[]{}\"'`"
@@ -68,21 +72,20 @@ def _says_number(low: bytes) -> bool:
 
 
 class Templates(dict):
-    """Word bytes to a column of hashes (literal, inside a sentence, at its head) and of flags: ends a sentence, has a slot inside, has one
-    at the head, is a number that may go on, is a word that may go on with one, is the `and` in one."""
+    """Word bytes to a number, under which the hash of the word in lower case and a code of what it is are kept."""
 
     def __init__(self):
         super().__init__()
-        self.hashes, self.flags = np.empty((3, MAX_WORDS), np.uint64), np.empty((6, MAX_WORDS), bool)
+        self.hashes, self.codes = np.empty(MAX_WORDS, np.uint64), np.empty(MAX_WORDS, np.uint8)
 
     def read(self, text: bytes | None) -> tuple[list[bytes], np.ndarray]:
-        """The words of a text, a number of several words as one, and their columns."""
+        """The words of a text, a number of several words as one, and their numbers here."""
         words = text.split() if text else []
         numbers = self.numbers(words)
-        goes_on = self.flags[4, numbers]
-        if not goes_on.any():
+        codes = self.codes[numbers]
+        if not (codes & _GOING_ON).any():
             return words, numbers
-        starts, between = self.flags[3, numbers], self.flags[5, numbers]
+        goes_on, starts, between = codes & _GOING_ON > 0, codes & _STARTING > 0, codes & _BETWEEN > 0
         joined = np.zeros(len(words), bool)  # with the word before
         joined[1:] = starts[:-1] & goes_on[1:]
         at = np.flatnonzero(between[1:-1] & starts[:-2] & goes_on[:-2] & goes_on[2:]) + 1
@@ -96,42 +99,49 @@ class Templates(dict):
     def numbers(self, words: list[bytes]) -> np.ndarray:
         if len(self) + len(words) > MAX_WORDS:
             self.clear()  # between texts only: numbers stay valid inside one
-        if len(words) > self.hashes.shape[1]:  # a single text with so many words
-            self.hashes, self.flags = np.empty((3, 2 * len(words)), np.uint64), np.empty((6, 2 * len(words)), bool)
+        if len(words) > len(self.hashes):  # a single text with so many words
+            self.hashes, self.codes = np.empty(2 * len(words), np.uint64), np.empty(2 * len(words), np.uint8)
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
     def __missing__(self, word: bytes) -> int:
+        if word.isalpha() and word.islower():  # of plain letters, as most words are
+            low, code = word, _WORD
+            if word in _NUMBER_WORDS:
+                code = _NUMBERS | _STARTING | _GOING_ON
+            elif word in _UNITS:
+                code = _UNIT
+            elif word == b"and":
+                code = _BETWEEN
+        else:
+            low, code = self._looked_at(word)
+        out = self[word] = len(self)
+        self.hashes[out] = xxhash.xxh64_intdigest(low)
+        self.codes[out] = code
+        return out
+
+    @staticmethod
+    def _looked_at(word: bytes) -> tuple[bytes, int]:
+        """A word in lower case without marks around it, and its code."""
         bare = word.strip(_EDGE)
         low = bare.lower()
         lead = bare[:1]
-        kind, name = b"", False
+        code = _ENDING if word.rstrip(b"\"')]}")[-1:] in _ENDS else 0
         # beyond ASCII, decimal digits begin with U+0660, whose first byte is 0xD9
         said = bare if bare.isascii() or max(bare) < 0xD9 else _ascii_digits(bare)
         if low in _UNITS:
-            kind = b"<unit>"
-        elif low in _NUMBER_WORDS or ((b"-" in low or b" " in low) and _says_number(low)):
-            kind = b"<number>"
-        elif said[:1] in _STARTS:
+            return low, code | _UNIT
+        in_words = low in _NUMBER_WORDS or ((b"-" in low or b" " in low) and _says_number(low))
+        if in_words or said[:1] in _STARTS:
             q = _QUANTITY.fullmatch(said)
-            if _NUMBER.fullmatch(said) or (q and q[2].lower() in ORDINAL_ENDS):
-                kind = b"<number>"
-            elif q and q[2].lower() in _UNITS:
-                kind = b"<quantity>"
-        elif not lead.islower():
+            if in_words or _NUMBER.fullmatch(said) or (q and q[2].lower() in ORDINAL_ENDS):
+                code |= _NUMBERS | (_STARTING if word.endswith(bare) else 0)
+                return low, code | (_GOING_ON if word.startswith(bare) and said[:1] not in _STARTS else 0)
+            return low, code | (_QUANTITIES if q and q[2].lower() in _UNITS else _WORD)
+        if not lead.islower():
             text = bare.decode("utf-8", "replace")
-            name = len(text) > 1 and text[0].isupper() and text[1:].islower()
-        out = self[word] = len(self)
-        hashes, flags = self.hashes, self.flags
-        hashes[0, out] = literal = xxhash.xxh64_intdigest(low)
-        hashes[1, out] = _KINDS[b"<name>"] if name else _KINDS.get(kind, literal)
-        hashes[2, out] = _KINDS.get(kind, literal)
-        flags[0, out] = word.rstrip(b"\"')]}")[-1:] in _ENDS
-        flags[1, out] = name or kind != b""
-        flags[2, out] = kind != b""
-        flags[3, out] = kind == b"<number>" and word.endswith(bare)
-        flags[4, out] = kind == b"<number>" and word.startswith(bare) and said[:1] not in _STARTS
-        flags[5, out] = word == b"and"
-        return out
+            if len(text) > 1 and text[0].isupper() and text[1:].islower():
+                code |= _NAME
+        return low, code
 
 
 def _rolled(columns: list[np.ndarray], n: int) -> np.ndarray:
@@ -154,9 +164,12 @@ def windows(table: Templates, text: bytes | None, widths: list[int], both: bool
         return
     if shorter:
         widths = [min(w, len(words)) for w in widths]
-    literal, inside, head = table.hashes[:, numbers]
-    ends, slot_in, slot_head = table.flags[:3, numbers]
-    first = np.concatenate([[True], ends[:-1]])
+    literal, codes = table.hashes[numbers], table.codes[numbers]
+    kinds = codes & _KIND_BITS
+    slot_in, slot_head = kinds != _WORD, (kinds != _WORD) & (kinds != _NAME)
+    inside = np.where(slot_in, _KINDS[kinds], literal)
+    head = np.where(slot_head, inside, literal)
+    first = np.concatenate([[True], codes[:-1] & _ENDING > 0])
     template, slot = np.where(first, head, inside), np.where(first, slot_head, slot_in)
     before = np.concatenate([[0], np.cumsum(~slot)])
     for width in widths:
