@@ -32,7 +32,8 @@ def merge_batch(refs: DataFrame, store: Store, parse: Callable[[DataFrame], Data
     healed = failed.join(records.select(F.col("dedup_key").alias("__k")), F.col("dedup_key") == F.col("__k"), "left_semi")
     again = state.failure_changes(failed, lost, now).withColumn("__gone", F.lit(False))
     top = made.agg(F.max("seq")).first()[0]
-    store.commit({"catalog": made, "failures": again.unionByName(gone(healed, FAILURES))}, last=max(last, -1 if top is None else top))
+    # no feeds are ranked here, so that a build that follows does it anew
+    store.commit({"catalog": made, "failures": again.unionByName(gone(healed, FAILURES))}, roster=None, last=max(last, -1 if top is None else top))
     store.compact_if_due()
 
 
