@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harvestry.scratch import materialise
 from harvestry.sources.schemas import CATALOG, conform
 
 
@@ -106,12 +107,43 @@ def write_document(lines: DataFrame, path: str) -> None:
         fs.delete(where(parts), True)
 
 
+#: The lines that catalog_lines() writes: the head, what stands between records and failures, the end, and an entry once its strings are taken out.
+_HEAD, _MIDDLE, _END = r'^\{"version": -?\d+, "generated_at": "[^"\\]*", "count": \d+, "recipes": \{\z', '}, "failures": {', "}}"
+_STRING, _FLAT = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', r"^,?: \{[^{}]*\}\z"
+
+
 def import_json(spark: SparkSession, path: str) -> DataFrame:
     """A catalog from one JSON document {recipes: {key: record}}, in the order of the document.
 
-    It is parsed as one value, as JSON has it; a catalog beyond what a row can hold lives in Snapshots.
+    A document as write_document() makes it has a line for each record, and is read by lines: many
+    tasks read its parts, and records are numbered by the places and sizes of these. Whether it is
+    such a one is seen from all its lines. Any other JSON is parsed as one value, as big as a row can be.
     """
     record = T.StructType([f for f in CATALOG if f.name != "seq"]).simpleString()
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", f"recipes map<string,{record}>").alias("d"))
-    rows = raw.select(F.posexplode(F.map_values("d.recipes")).alias("seq", "r"))
-    return conform(rows.select(F.col("seq").cast("bigint").alias("seq"), "r.*"))
+    value = F.col("value")
+    flat = F.regexp_replace(value, _STRING, "").rlike(_FLAT)
+    kind = F.when(value.rlike(_HEAD), "head").when(value == _MIDDLE, "middle").when(value == _END, "end").when(flat & F.startswith(value, F.lit(",")), "next").when(flat, "first").otherwise("odd")
+    entry = F.from_json(F.concat(F.lit("{"), F.regexp_replace(value, "^,", ""), F.lit("}")), f"map<string,{record}>")
+    read = spark.read.text(path).select(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"), kind.alias("kind"), F.when(flat, F.get(F.map_values(entry), F.lit(0))).alias("r"))
+    read = materialise(read, "document")
+    place = F.struct("at", "id")
+    span = read.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least"), F.max(place).alias("most"), F.count_if(F.col("r").isNull()).alias("void"))
+    found = {r["kind"]: r for r in span.collect()}  # six kinds
+    marks = [found[k]["least"] for k in ("head", "middle", "end") if k in found and found[k]["n"] == 1]
+    entries = [found[k] for k in ("first", "next") if k in found]
+    own = len(marks) == 3 and "odd" not in found and marks == sorted(marks) and all(marks[0] < r["least"] and r["most"] < marks[2] and not r["void"] for r in entries)
+    part = F.when(place < F.struct(F.lit(marks[1]["at"]).cast("bigint").alias("at"), F.lit(marks[1]["id"]).cast("bigint").alias("id")), 1).otherwise(2) if own else None
+    if own:  # the first of each part, and no other one, has no comma before it
+        starts = read.filter("kind in ('first', 'next')").groupBy(part.alias("part")).agg(F.min_by("kind", place).alias("kind"), F.count_if(F.col("kind") == "first").alias("n")).collect()
+        own = all(r["kind"] == "first" and r["n"] == 1 for r in starts)
+    if not own:
+        raw = spark.read.text(path, wholetext=True).select(F.from_json("value", f"recipes map<string,{record}>").alias("d"))
+        rows = raw.select(F.posexplode(F.map_values("d.recipes")).alias("seq", "r"))
+        return conform(rows.select(F.col("seq").cast("bigint").alias("seq"), "r.*"))
+    records = read.filter("kind in ('first', 'next')").filter(part == 1)
+    before = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = records.groupBy("at").agg(F.count(F.lit(1)).alias("n"))  # a row a part of the file
+    starts = sizes.select(F.col("at").alias("__at"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    nth = F.row_number().over(Window.partitionBy("at").orderBy("id")) - 1
+    rows = records.withColumn("__n", nth).join(F.broadcast(starts), F.col("at") == F.col("__at"))
+    return conform(rows.select((F.col("__start") + F.col("__n")).cast("bigint").alias("seq"), "r.*"))
