@@ -238,8 +238,8 @@ def feed_summary(spark, d):
     return o.select("o_orderkey", text.summary(some(2, F.col("o_orderpriority")), some(3, F.col("o_orderstatus")), some(5, F.col("o_custkey").cast("string")), F.lit("title")).alias("summary"))
 
 
-def _captions(spark, d):
-    """A caption for each order: a title, its items as ingredients, its ship dates as steps."""
+def _captions(spark, d, *fields):
+    """Fields of a caption for each order: a title, its items as ingredients, its ship dates as steps."""
     li = _t(spark, d, "lineitem").join(_t(spark, d, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     rows = li.select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.col("l_quantity").cast("int").alias("q"), "p_name", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")).alias("x"))
     one = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("xs"))
@@ -255,35 +255,35 @@ def _captions(spark, d):
         F.when(F.col("l_orderkey") % 3 > 0, F.concat(F.lit("Method\n"), F.array_join(F.transform("xs", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". Add by "), x["day"])), "\n"), F.lit("\nMakes 4 plates when all of it is shared out"))).otherwise(""),
         F.lit("\n#food #home"),
     )
-    return one.select("l_orderkey", captions.parse_caption(caption).alias("p"))
+    return one.select("l_orderkey", captions.parse_caption(caption, *fields).alias("p"))
 
 
 def caption_titles(spark, d):
-    return _captions(spark, d).select("l_orderkey", "p.title", "p.nutrition", F.col("p.description").alias("description"))
+    return _captions(spark, d, "title", "nutrition", "description").select("l_orderkey", "p.title", "p.nutrition", F.col("p.description").alias("description"))
 
 
 def caption_items(spark, d):
-    return _captions(spark, d).select("l_orderkey", F.posexplode("p.ingredients").alias("pos", "item")).withColumn("pos", F.col("pos").cast("bigint"))
+    return _captions(spark, d, "ingredients").select("l_orderkey", F.posexplode_outer("p.ingredients").alias("pos", "item")).filter("pos is not null").withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def caption_sections(spark, d):
-    return _captions(spark, d).select("l_orderkey", F.size("p.ingredients").cast("bigint").alias("ingredients"), F.size("p.instructions").cast("bigint").alias("instructions"))
+    return _captions(spark, d, "ingredients", "instructions").select("l_orderkey", F.size("p.ingredients").cast("bigint").alias("ingredients"), F.size("p.instructions").cast("bigint").alias("instructions"))
 
 
 def caption_steps(spark, d):
-    return _captions(spark, d).select("l_orderkey", F.posexplode("p.instructions").alias("pos", "step")).withColumn("pos", F.col("pos").cast("bigint"))
+    return _captions(spark, d, "instructions").select("l_orderkey", F.posexplode_outer("p.instructions").alias("pos", "step")).filter("pos is not null").withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def caption_confident(spark, d):
-    return _captions(spark, d).select("l_orderkey", "p.confident")
+    return _captions(spark, d, "confident").select("l_orderkey", "p.confident")
 
 
 def caption_yield(spark, d):
-    return _captions(spark, d).select("l_orderkey", F.col("p.servings").alias("servings"))
+    return _captions(spark, d, "servings").select("l_orderkey", F.col("p.servings").alias("servings"))
 
 
 def caption_lines_documents(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", captions.parse_caption(F.col("text")).alias("p"))
+    docs = _t(spark, d, "documents").select("doc_id", captions.parse_caption(F.col("text"), "description", "confident").alias("p"))
     return docs.select("doc_id", F.sha1(F.col("p.description").cast("binary")).alias("description_sha1"), "p.confident")
 
 
