@@ -2,8 +2,12 @@ import json
 import zipfile
 from datetime import datetime
 
+import pytest
+from pyspark.sql import functions as F
+
 from harvestry.operators import cards
 from harvestry.plans import build
+from harvestry.scratch import materialise
 from harvestry.sources import roster, saved_items
 from harvestry.sources.schemas import DOCUMENTS
 
@@ -288,3 +292,22 @@ def test_catalog_json_round_trip(spark, tmp_path):
     assert again.drop("seq").collect() == got.drop("seq").collect()
     write_document(catalog_lines(got.limit(0), two.limit(0), NOW), f"file://{tmp_path}/none.json")
     assert json.loads((tmp_path / "none.json").read_text())["recipes"] == {}
+
+
+@pytest.mark.parametrize("way, record", [("discovery: native_feed, feed_url: https://e.org/at", "R"), ("discovery: index_page, url: https://e.org/at, url_pattern: /recipes/", "R"), ("discovery: chef_page, url: https://e.org/at", "R"), ("discovery: seed_list", "Said")])
+def test_documents_are_never_broadcast(spark, way, record):
+    """Many pages in a small file: the roster and the few refs go to them, whatever Spark thinks of their sizes."""
+    at = '<a href="/recipes/a-1">x</a>' if "page" in way else "<rss><channel><item><link>https://e.org/recipes/a-1</link></item></channel></rss>"
+    post = "https://www.instagram.com/p/A/"
+    rows = [("https://e.org/at", "text", at, None, True), ("https://e.org/recipes/a-1", "text", page("R"), None, True), (post, "text", '{"title": "Said"}', None, True)]
+    long = F.concat(F.lit('<meta property="og:description" content="'), F.repeat(F.lit("x"), 40000), F.lit('">'))
+    many = spark.range(4000).select(F.concat(F.lit("https://e.org/x/"), "id").alias("url"), F.lit("text").alias("kind"), long.alias("body"), F.lit(None).cast("binary").alias("bytes"), F.lit(True).alias("ok"))
+    documents = materialise(many.unionByName(spark.createDataFrame(rows, DOCUMENTS)).coalesce(1), "documents")  # 160 MB of texts
+    sources = roster.with_limits(roster.roster_table(spark, roster.parse_roster(f"sources:\n- {{name: s, mode: link_through, {way}}}\n")), False)
+    given = build.Inputs(documents, spark.createDataFrame([("s", post + "\n")], "source string, text string"))
+    spark.conf.set("spark.sql.maxBroadcastTableSize", str(100 << 20))  # a single row counts as a page of memory, 32 MB at this session's heap
+    try:
+        refs = materialise(build.discover(spark, sources, given), "refs")
+        assert [r.title for r in build.parse(refs, sources, given).collect()] == [record]
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
